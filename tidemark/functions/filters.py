@@ -29,29 +29,42 @@ def before(day: Column, n: int, unit: str = "day") -> Column:
     raise ValueError(f"unit must be 'day' or 'month', not {unit!r}")
 
 
+def cutoff(df: DataFrame, n: int, unit: str = "day", date: str = DATE) -> Column:
+    """``n`` days or months before the latest day of ``df``, as a scalar subquery.
+
+    The subtraction happens inside the subquery: the filter then compares a
+    column with a plain value, which the Parquet scan can use to skip data.
+    """
+    return df.agg(before(F.max(date), n, unit)).scalar()
+
+
 def trailing(
     df: DataFrame,
     n: int,
     unit: str = "day",
     *,
     inclusive: bool = False,
-    anchor: Column | None = None,
+    anchor: DataFrame | None = None,
     date: str = DATE,
 ) -> DataFrame:
-    """Rows after ``anchor - n`` (or from it on, if ``inclusive``).
+    """Rows after the latest day less ``n`` (or from that day on, if ``inclusive``).
 
-    ``anchor`` defaults to the latest day of ``df`` itself.
+    The latest day is that of ``anchor``, by default of ``df`` itself.
     """
-    cut = before(latest(df, date) if anchor is None else anchor, n, unit)
+    cut = cutoff(df if anchor is None else anchor, n, unit, date)
     return df.filter(F.col(date) >= cut if inclusive else F.col(date) > cut)
 
 
 def leading(
-    df: DataFrame, n: int, unit: str = "day", *, anchor: Column | None = None, date: str = DATE
+    df: DataFrame,
+    n: int,
+    unit: str = "day",
+    *,
+    anchor: DataFrame | None = None,
+    date: str = DATE,
 ) -> DataFrame:
-    """The complement of an exclusive ``trailing``: rows up to ``anchor - n``."""
-    cut = before(latest(df, date) if anchor is None else anchor, n, unit)
-    return df.filter(F.col(date) <= cut)
+    """The complement of an exclusive ``trailing``: rows up to that day."""
+    return df.filter(F.col(date) <= cutoff(df if anchor is None else anchor, n, unit, date))
 
 
 def date_between(

@@ -11,7 +11,7 @@ from tidemark import schemas as S
 from tidemark.functions.aggregates import conditional_sum, count_where
 from tidemark.functions.filters import (
     as_date,
-    before,
+    cutoff,
     latest,
     latest_per_key,
     leading,
@@ -34,7 +34,7 @@ def training_view(
         months,
         "month",
         inclusive=True,
-        anchor=latest(features),
+        anchor=features,
     )
     return without_series(rows, exclude).select(
         S.SERIES,
@@ -191,5 +191,5 @@ def synthetic_forecast(
         F.lit(None).cast("double").alias("forecast_lower"),
         F.lit(None).cast("double").alias("forecast_upper"),
         F.round(F.abs(key_noise(key, *error, seed + 1)) * 100, 2).alias("mape"),
-        (F.col(S.DATE) >= before(latest(long), recent_days)).alias("is_forecast"),
+        (F.col(S.DATE) >= cutoff(long, recent_days)).alias("is_forecast"),
     )

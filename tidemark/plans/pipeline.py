@@ -159,6 +159,41 @@ class Pipeline:
         prompts = text.prompt_explain(self.stats, risk.top_feature_text(self.importance))
         return self._text(prompts, "explanation", "explainability_narratives")
 
+    def views(self) -> dict[str, Callable[[], DataFrame]]:
+        """Every table and view of the pipeline by name, built when called."""
+        return {
+            "stg_long": lambda: self.long,
+            "stg_vaccinations": lambda: self.vacc,
+            "target_countries": lambda: self.key_map,
+            "daily_country_series": lambda: self.panel,
+            "data_profile": lambda: self.profile,
+            "vaccination_timeline": lambda: panel.vacc_timeline(self.panel),
+            "date_spine": lambda: panel.date_spine(self.panel, self.keys),
+            "base_filled": lambda: self.filled,
+            "features_engineered": lambda: self.features,
+            "ml_training_data": lambda: self.training,
+            "ml_train_split": lambda: fc.train_split(self.training, self.holdout),
+            "ml_test_actuals": lambda: fc.test_actuals(self.training, self.holdout),
+            "ml_test_exogenous": lambda: fc.test_exogenous(self.training, self.holdout),
+            "eval_predictions": lambda: self.eval_predictions,
+            "forecast_eval": lambda: self.evaluation,
+            "future_exogenous": lambda: fc.future_exogenous(self.training, self.horizon),
+            "forecast_raw": lambda: self.forecast,
+            "forecast_output": lambda: self.output,
+            "feature_importance": lambda: self.importance,
+            "country_stats": lambda: self.stats,
+            "outbreak_narratives": lambda: self.narratives,
+            "global_summary": lambda: self.global_summary,
+            "policy_recommendations": lambda: self.policies,
+            "explainability_narratives": lambda: self.explanations,
+        }
+
+    def create_views(self, *names: str) -> None:
+        """Register temporary views (by default all), so that SQL can read them."""
+        views = self.views()
+        for name in names or views:
+            views[name]().createOrReplaceTempView(name)
+
     def _forecast_layer(self, df: DataFrame, name: str) -> DataFrame:
         S.assert_schema(df, S.FORECAST_SCHEMA)
         return self.store.write(df, MARTS, f"{name}_{self.method}")

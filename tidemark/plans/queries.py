@@ -76,6 +76,12 @@ def _key(*columns: str) -> list[str]:
     return [S.SERIES, S.DATE, *columns]
 
 
+def _sql(p: Pipeline, statement: str, *views: str) -> DataFrame:
+    """A SQL statement over the pipeline's views."""
+    p.create_views(*views)
+    return p.spark.sql(statement)
+
+
 _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     # staging and panel
     "key_map_coverage": lambda p: profile.key_map_coverage(
@@ -85,6 +91,12 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     "vacc_timeline": lambda p: panel.vacc_timeline(p.panel),
     "date_spine": lambda p: panel.date_spine(p.panel, p.keys),
     "gap_fill": lambda p: p.filled,
+    "sql_over_views": lambda p: _sql(
+        p,
+        """SELECT p.country_region, p.total_days, s.risk_tier, s.cases_last_30d
+        FROM data_profile p LEFT JOIN country_stats s ON p.country_region = s.country_region""",
+        "data_profile", "country_stats",
+    ),
     # features
     "features_rolling_7d": lambda p: feat.rolling_means(
         p.filled, {"cases_7d_avg": ("new_cases", 7, 2)}
