@@ -124,7 +124,7 @@ def test_ridge_matches_a_direct_solution(spark):
     x = rng.normal(size=n)
     y = 2.0 * np.arange(n) + 5.0 * x + rng.normal(size=n)
     t = training(spark, y, x)
-    model = models.fit(t, "ridge", penalty=0.5)
+    model = models.fit(t, "ridge", penalty=0.5, weekdays=True)
     out = model.predict(t.drop("target_cases")).orderBy("ts").collect()
 
     days = [day(i) for i in range(1, n + 1)]

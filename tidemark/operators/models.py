@@ -52,8 +52,14 @@ def fit(
     target: str = S.TARGET,
     period: int = 7,
     penalty: float = 1.0,
+    weekdays: bool = False,
 ) -> ForecastModel:
-    """Fit one model per series in one pass over ``train``."""
+    """Fit one model per series in one pass over ``train``.
+
+    ``weekdays`` adds weekday indicators to the ridge inputs. They are off by
+    default because the usual target is a 7-day mean, in which every weekday
+    counts the same; raw daily targets want them.
+    """
     exogenous = [c for c in train.columns if c not in (series, timestamp, target)]
     if method == "seasonal_naive":
         params = _fit_seasonal(train, series, timestamp, target, period)
@@ -61,7 +67,7 @@ def fit(
     if method == "linear_trend":
         return ForecastModel(method, _fit_linear(train, series, timestamp, target), series, timestamp)
     if method == "ridge":
-        inputs = (TREND, *WEEKDAYS, *exogenous)
+        inputs = (TREND, *(WEEKDAYS if weekdays else ()), *exogenous)
         params = _fit_ridge(train, series, timestamp, target, inputs, penalty)
         return ForecastModel(method, params, series, timestamp, inputs)
     raise ValueError(f"method is one of {METHODS}, not {method!r}")
@@ -96,12 +102,13 @@ def feature_importance(model: ForecastModel) -> DataFrame:
     """Share of the absolute standardised coefficients, ranked per series."""
     if model.method != "ridge":
         raise ValueError(f"{model.method} has no inputs to rank; use importance_corr")
-    total = sum((F.abs(F.col("beta")[j]) for j in range(len(model.inputs))), F.lit(0.0))
-    scores = {
-        name: F.when(total > 0, F.abs(F.col("beta")[j]) / total).otherwise(0.0)
-        for j, name in enumerate(model.inputs)
-    }
-    return _ranked(model.params, model.series, scores)
+    size = F.transform("beta", F.abs)
+    total = F.aggregate("size", F.lit(0.0), lambda sum_, x: sum_ + x)
+    scores = F.transform(
+        "size", lambda x: F.when(F.col("total") > 0, x / F.col("total")).otherwise(0.0)
+    )
+    scored = model.params.withColumn("size", size).withColumn("total", total)
+    return _ranked(scored, model.series, F.array(*[F.lit(n) for n in model.inputs]), scores)
 
 
 def importance_corr(
@@ -120,7 +127,10 @@ def importance_corr(
             for c in inputs
         ]
     )
-    return _ranked(corr, series, {c: F.round(F.abs(F.col(c)), digits) for c in inputs})
+    names = F.array(*[F.lit(c) for c in inputs])
+    return _ranked(
+        corr, series, names, F.array(*[F.round(F.abs(F.col(c)), digits) for c in inputs])
+    )
 
 
 def _safe_corr(x: Column, y: Column) -> Column:
@@ -128,13 +138,15 @@ def _safe_corr(x: Column, y: Column) -> Column:
     return F.when(spread > 0, F.covar_pop(x, y) / F.sqrt(spread)).otherwise(0.0)
 
 
-def _ranked(df: DataFrame, series: str, scores: dict[str, Column]) -> DataFrame:
-    """Unfold one row's scores into ranked rows; sorted inside the row, no shuffle."""
+def _ranked(df: DataFrame, series: str, names: Column, scores: Column) -> DataFrame:
+    """Unfold one row's scores into ranked rows; sorted inside the row, no shuffle.
+
+    Ties go by name.
+    """
     entries = F.sort_array(
-        F.array(*[
-            F.struct((-score).alias("neg"), F.lit(name).alias("name"))
-            for name, score in scores.items()
-        ])
+        F.zip_with(
+            scores, names, lambda score, name: F.struct((-score).alias("neg"), name.alias("name"))
+        )
     )
     return df.select(
         F.col(series).alias("series"), F.posexplode(entries).alias("pos", "entry")
@@ -238,47 +250,38 @@ def _fit_ridge(
         *[_input(name, day).alias(f"x{j}") for j, name in enumerate(inputs)],
     )
     p = len(inputs)
-    x = [f"x{j}" for j in range(p)]
-    # One covariance per pair, under a name of its own: the aggregate stays flat.
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
     moments = rows.groupBy(series).agg(
-        F.count("y").alias("n"),
-        F.avg("y").alias("mean_y"),
-        F.var_pop("y").alias("var_y"),
-        *[F.avg(c).alias(f"mean_{c}") for c in x],
-        *[F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i, j in pairs],
-        *[F.covar_pop(c, "y").alias(f"cy_{c}") for c in x],
-    )
-    solved = _ridge_solver(p, penalty)(
-        F.col("n"),
-        F.col("var_y"),
-        F.array(*[F.col(f"c{i}_{j}") for i, j in pairs]),
-        F.array(*[F.col(f"cy_{c}") for c in x]),
+        F.expr("count(y) AS n"),
+        F.expr("avg(y) AS mean_y"),
+        F.expr("var_pop(y) AS var_y"),
+        *[F.expr(f"avg(x{j}) AS mean_{j}") for j in range(p)],
+        *[F.expr(f"covar_pop(x{i}, x{j}) AS c{i}_{j}") for i, j in pairs],
+        *[F.expr(f"covar_pop(x{j}, y) AS cy_{j}") for j in range(p)],
     )
+    inputs_of = ["n", "var_y", _array(f"c{i}_{j}" for i, j in pairs),
+                 _array(f"cy_{j}" for j in range(p))]
     return moments.select(
         series,
         "mean_y",
-        F.array(*[F.col(f"mean_{c}") for c in x]).alias("mean_x"),
-        F.array(*[F.sqrt(F.col(f"c{j}_{j}")) for j in range(p)]).alias("sd_x"),
-        solved.alias("solved"),
-    ).select(
-        series,
-        "mean_y",
-        "mean_x",
-        "sd_x",
-        F.slice("solved", 1, p).alias("beta"),
-        F.element_at("solved", p + 1).alias("residual_sd"),
-    )
+        _array(f"mean_{j}" for j in range(p)).alias("mean_x"),
+        _array(f"sqrt(c{j}_{j})" for j in range(p)).alias("sd_x"),
+        _ridge_solver(p, penalty)(*inputs_of).alias("solved"),
+    ).select(series, "mean_y", "mean_x", "sd_x", "solved.*")
+
+
+def _array(items) -> Column:
+    return F.expr(f"array({', '.join(items)})")
 
 
 def _ridge_solver(p: int, penalty: float):
-    """Pandas UDF solving a batch of p x p systems; returns beta and residual sd."""
+    """Pandas UDF solving a batch of p x p systems: coefficients and residual sd."""
     upper = np.triu_indices(p)
 
-    @F.pandas_udf("array<double>")
-    def solve(n: pd.Series, var_y: pd.Series, cov: pd.Series, cov_y: pd.Series) -> pd.Series:
+    @F.pandas_udf("beta array<double>, residual_sd double")
+    def solve(n: pd.Series, var_y: pd.Series, cov: pd.Series, cov_y: pd.Series) -> pd.DataFrame:
         if len(n) == 0:
-            return pd.Series([], dtype=object)
+            return pd.DataFrame({"beta": [], "residual_sd": []})
         rows = n.to_numpy(dtype=float)
         c = np.zeros((len(n), p, p))
         c[:, upper[0], upper[1]] = np.stack(cov.to_numpy())
@@ -295,7 +298,7 @@ def _ridge_solver(p: int, penalty: float):
         fitted = 2 * (beta * ry).sum(axis=1) - np.einsum("ki,kij,kj->k", beta, r, beta)
         mse = np.maximum(var_y.to_numpy(dtype=float) - fitted, 0.0)
         spread = np.sqrt(mse * rows / np.maximum(rows - p - 1, 1.0))
-        return pd.Series(list(np.column_stack([beta, spread])))
+        return pd.DataFrame({"beta": list(beta), "residual_sd": spread})
 
     return solve
 

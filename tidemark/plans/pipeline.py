@@ -22,7 +22,8 @@ class Pipeline:
 
     What several steps read is written to the store when first asked for: the
     daily panel, the features, the predictions and scores, the forecast table,
-    the importance ranking and the texts. The rest are plain lazy frames.
+    the importance ranking, the statistics and the texts. The rest are plain
+    lazy frames.
     """
 
     def __init__(
@@ -130,11 +131,13 @@ class Pipeline:
             S.assert_schema(df, S.IMPORTANCE_SCHEMA), MARTS, f"feature_importance_{self.method}"
         )
 
-    @property
+    @cached_property
     def stats(self) -> DataFrame:
-        return risk.country_stats(
+        # One row per series, read several times by the roll-up and the matrix.
+        df = risk.country_stats(
             self.features, self.output, self.evaluation, exclude=self.exclude
         )
+        return self.store.write(df, MARTS, f"country_stats_{self.method}")
 
     @property
     def rollup(self) -> DataFrame:

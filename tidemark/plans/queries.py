@@ -40,13 +40,15 @@ def pipeline_for(spark: SparkSession, sf_dir: str) -> Pipeline:
     """The pipeline over one data directory, its layers kept for the application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _pipelines:
-        _pipelines[key] = new_pipeline(spark, sf_dir)
+        store = LayerStore(spark)
+        sources = staged(store, tpch.raw_long(spark, sf_dir), tpch.raw_vacc(spark, sf_dir))
+        keep(spark, sf_dir, pipeline_over(spark, sf_dir, *sources, store))
     return _pipelines[key]
 
 
-def new_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    store = LayerStore(spark)
-    long, vacc = staged(store, tpch.raw_long(spark, sf_dir), tpch.raw_vacc(spark, sf_dir))
+def pipeline_over(
+    spark: SparkSession, sf_dir: str, long: DataFrame, vacc: DataFrame, store: LayerStore
+) -> Pipeline:
     return Pipeline(
         long,
         vacc,
@@ -57,6 +59,11 @@ def new_pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     )
 
 
+def keep(spark: SparkSession, sf_dir: str, pipeline: Pipeline) -> None:
+    """Let the queries of this application use ``pipeline`` for ``sf_dir``."""
+    _pipelines[spark.sparkContext.applicationId, sf_dir] = pipeline
+
+
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Round sums and fits whose last bits depend on the order of addition."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
@@ -197,7 +204,11 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     # risk and text
     "period_stats": lambda p: risk.period_stats(p.features, exclude=p.exclude),
     "forecast_stats": lambda p: risk.forecast_stats(p.output),
-    "country_stats": lambda p: p.stats.drop("risk_tier"),
+    "country_stats": lambda p: risk.combine_stats(
+        risk.period_stats(p.features, exclude=p.exclude),
+        risk.forecast_stats(p.output),
+        p.evaluation,
+    ),
     "risk_tier": lambda p: p.stats.select(S.SERIES, "pct_change_30d", "risk_tier"),
     "trend_phrase": lambda p: p.stats.select(
         S.SERIES, risk.trend_phrase(F.col("pct_change_30d")).alias("phrase")
