@@ -83,6 +83,17 @@ def test_flagship_query(spark):
 
 def test_pipeline_with_ridge_builds_every_view(spark):
     p = Q.pipeline_for(spark, SF).with_method("ridge")
+    p.build()
     p.create_views()
     for name in p.views():
         assert spark.table(name).limit(1).count() == 1, name
+
+
+def test_tables_can_be_saved_to_the_catalog(spark, tmp_path):
+    from tidemark.sources.layers import LayerStore
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tm_test LOCATION '{tmp_path}/db'")
+    df = Q.pipeline_for(spark, SF).evaluation
+    saved = LayerStore(spark, str(tmp_path)).save_table(df, "tm_test.forecast_eval")
+    assert saved.exceptAll(df).count() == 0
+    spark.sql("DROP DATABASE tm_test CASCADE")

@@ -24,6 +24,21 @@ def test_staging_renames_and_passes_optional_columns(spark):
         staging.stage_long(raw.drop("difference"))
 
 
+def test_staging_unifies_case_and_types(spark):
+    raw = spark.createDataFrame(
+        [("A", None, "2021-01-01", "Confirmed", 9, 4)],
+        "COUNTRY_REGION string, PROVINCE_STATE string, DATE string, CASE_TYPE string, "
+        "CASES int, DIFFERENCE int",
+    ).withColumn("COUNTY", F.lit("x"))
+    raw = raw.withColumn("CASES", F.col("CASES").cast("decimal(38,0)"))
+    out = staging.stage_long(raw)
+    assert dict(out.dtypes) == {
+        "country_region": "string", "province_state": "string", "date": "date",
+        "case_type": "string", "cumulative_value": "bigint", "daily_value": "bigint",
+        "county": "string",
+    }
+
+
 def test_population_staging(spark):
     out = staging.stage_population(tpch.raw_population(spark, SF))
     assert out.columns == ["country_region", "continent", "population"]

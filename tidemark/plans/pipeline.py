@@ -191,6 +191,16 @@ class Pipeline:
             "explainability_narratives": lambda: self.explanations,
         }
 
+    def build(self) -> None:
+        """Write every materialised layer."""
+        for view in self.views().values():
+            view()
+
+    def save_tables(self, database: str) -> None:
+        """Replace one catalog table per view in ``database``."""
+        for name, view in self.views().items():
+            self.store.save_table(view(), f"{database}.{name}")
+
     def create_views(self, *names: str) -> None:
         """Register temporary views (by default all), so that SQL can read them."""
         views = self.views()

@@ -104,6 +104,14 @@ EXOGENOUS = [
     "vacc_rate_lag_28d",
 ]
 
+# Types the staged columns get, whatever exact type the source stores.
+STAGED_TYPES = {
+    DATE: "date",
+    **dict.fromkeys(["cases", "difference", "deaths", "population"], "bigint"),
+    **dict.fromkeys(["cases_since_prev_day", "deaths_since_prev_day"], "bigint"),
+    **{c: "double" if "_per_" in c else "bigint" for c in VACC_MEASURES},
+}
+
 _D, _L, _S = T.DoubleType(), T.LongType(), T.StringType()
 
 PANEL_SCHEMA = T.StructType(

@@ -23,33 +23,42 @@ def stage(
     *,
     required: Sequence[str] | None = None,
     optional: Sequence[str] = (),
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Project to the listed columns under their staged names.
+    """Project to the listed columns under their staged names and types.
 
     Without ``required`` every column passes. A missing required column is an
     error at analysis time; optional ones are passed on where they exist.
+    Names are matched without regard to case and come out as listed.
     """
-    renames = renames or {}
-    have = set(df.columns)
+    renames, types = renames or {}, types or {}
+    have = {c.lower() for c in df.columns}
     names = list(df.columns) if required is None else [
         *required, *(c for c in optional if c in have)
     ]
-    return df.select(*[F.col(c).alias(renames.get(c, c)) for c in names])
+    typed = [F.col(c).cast(types[c]) if c in types else F.col(c) for c in names]
+    return df.select(*[c.alias(renames.get(n, n)) for c, n in zip(typed, names)])
 
 
 def stage_long(raw: DataFrame) -> DataFrame:
     """Long table: one row per (series, sub-region, day, category)."""
-    return stage(raw, S.LONG_RENAMES, required=S.LONG_REQUIRED, optional=S.LONG_OPTIONAL)
+    return stage(
+        raw, S.LONG_RENAMES, required=S.LONG_REQUIRED, optional=S.LONG_OPTIONAL,
+        types=S.STAGED_TYPES,
+    )
 
 
 def stage_vacc(raw: DataFrame) -> DataFrame:
     """Second table: one row per (series, day) with vaccination measures."""
-    return stage(raw, required=S.VACC_REQUIRED, optional=S.VACC_OPTIONAL)
+    return stage(
+        raw, required=S.VACC_REQUIRED, optional=S.VACC_OPTIONAL, types=S.STAGED_TYPES
+    )
 
 
 def stage_population(raw: DataFrame) -> DataFrame:
     return stage(
-        raw, S.POPULATION_RENAMES, required=S.POPULATION_REQUIRED, optional=S.POPULATION_OPTIONAL
+        raw, S.POPULATION_RENAMES, required=S.POPULATION_REQUIRED,
+        optional=S.POPULATION_OPTIONAL, types=S.STAGED_TYPES,
     )
 
 
