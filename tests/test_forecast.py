@@ -150,6 +150,24 @@ def test_constant_series_gets_a_zero_width_interval(spark, method):
     assert [(r.forecast, r.lower_bound, r.upper_bound) for r in out] == [(0.0, 0.0, 0.0)] * 3
 
 
+@pytest.mark.parametrize("method", models.METHODS)
+def test_constant_level_is_forecast_to_continue(spark, method):
+    # 0.1 has no exact binary form, so sums of it carry rounding
+    train = training(spark, [0.1] * 366, [0.7] * 366)
+    out = models.fit(train, method).predict(ahead(spark, 367, 1, 0.9)).first()
+    assert out.forecast == pytest.approx(0.1) and out.upper_bound == pytest.approx(0.1)
+
+
+def test_ridge_is_stable_for_large_levels_with_little_spread(spark):
+    rng = np.random.default_rng(7)
+    x = 1e5 + rng.normal(size=200)
+    y = 5e5 + 3.0 * x + rng.normal(size=200) * 0.01
+    t = training(spark, y, x)
+    out = models.fit(t, "ridge", penalty=1e-3).predict(t.drop("target_cases")).orderBy("ts")
+    got = np.array([r.forecast for r in out.collect()])
+    assert np.abs(got - y).max() < 0.1  # spread of y is about 3
+
+
 @pytest.mark.parametrize("method", models.METHODS)
 def test_very_short_series_do_not_fail(spark, method):
     out = models.fit(training(spark, [4.0]), method).predict(ahead(spark, 2, 1)).first()

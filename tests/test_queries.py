@@ -1,5 +1,10 @@
 """Every registered query: SQL agreement, plan shape, independence of settings."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import compare, connect
 from conftest import SF
@@ -7,6 +12,7 @@ from conftest import SF
 from tidemark.plans import oracle
 from tidemark.plans import queries as Q
 
+ROOT = Path(__file__).resolve().parents[1]
 QUERIES, SQL = Q.queries(), oracle.oracle_sql()
 ROWS_ONLY = {"forecast_ridge", "forecast_eval_ridge", "importance_ridge"}
 
@@ -97,3 +103,27 @@ def test_tables_can_be_saved_to_the_catalog(spark, tmp_path):
     saved = LayerStore(spark, str(tmp_path)).save_table(df, "tm_test.forecast_eval")
     assert saved.exceptAll(df).count() == 0
     spark.sql("DROP DATABASE tm_test CASCADE")
+
+
+def test_python_functions_need_no_package_on_the_workers(tmp_path):
+    """The entry file is loaded by path from elsewhere; workers cannot import the package."""
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("e", {str(ROOT / "__spark_entry__.py")!r})
+e = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(e)
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("narratives", "forecast_ridge"):
+    assert e.queries()[name](spark, {SF!r}).count() > 0
+print("all fine")
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True,
+        timeout=300,
+    )
+    assert "all fine" in done.stdout, done.stderr[-2000:]

@@ -130,28 +130,30 @@ def prompt_explain(stats: DataFrame, feature_text: DataFrame) -> DataFrame:
     )
 
 
-def facts_of(prompts: list[str]) -> list[str]:
-    """The default completion: the facts paragraph of each prompt, unchanged."""
-    return [p.split("\n\n")[1] for p in prompts]
-
-
 def complete(
     prompts: DataFrame,
-    fn: Callable[[list[str]], list[str]] = facts_of,
+    fn: Callable[[list[str]], list[str]] | None = None,
     out: str = "narrative",
     prompt: str = "prompt",
 ) -> DataFrame:
     """Replace each prompt by its completion and stamp the time.
 
     ``fn`` takes a batch of prompts and returns as many texts. It runs in the
-    executors, on Arrow batches.
+    executors, on Arrow batches. Without one the facts paragraph of the prompt
+    stands for the text.
     """
+
+    # Local, so that it travels with the task and workers need not import it.
+    def facts(batch: list[str]) -> list[str]:
+        return [p.split("\n\n")[1] for p in batch]
+
+    answer = fn or facts
     rest = [f for f in prompts.schema if f.name != prompt]
     schema = T.StructType([*rest, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = list(fn(batch[prompt].tolist()))
+            texts = list(answer(batch[prompt].tolist()))
             if len(texts) != len(batch):
                 raise ValueError(f"{len(batch)} prompts gave {len(texts)} texts")
             done = batch.drop(columns=prompt)

@@ -37,7 +37,7 @@ class Pipeline:
         horizon: int = 30,
         holdout: int = 30,
         interval: float = 0.95,
-        complete: Callable[[list[str]], list[str]] = text.facts_of,
+        complete: Callable[[list[str]], list[str]] | None = None,
         store: LayerStore | None = None,
     ):
         self.long, self.vacc, self.key_map = long, vacc, key_map
