@@ -34,6 +34,8 @@ def cutoff(df: DataFrame, n: int, unit: str = "day", date: str = DATE) -> Column
 
     The subtraction happens inside the subquery: the filter then compares a
     column with a plain value, which the Parquet scan can use to skip data.
+    Two different cut-offs over one table would be merged into one subquery of
+    two values and lose that; derive the second from the first instead.
     """
     return df.agg(before(F.max(date), n, unit)).scalar()
 

@@ -45,8 +45,11 @@ def chart_period(features: DataFrame, days: int | None = 365) -> DataFrame:
     if days is None:
         return features
     ends = features.groupBy(S.SERIES).agg(F.max(S.DATE).alias("_end"))
+    # No series needs a day before this one, so the scan may skip them all.
+    earliest = ends.agg(F.date_sub(F.min("_end"), days)).scalar()
     return (
-        features.join(ends, S.SERIES)
+        features.filter(F.col(S.DATE) >= earliest)
+        .join(ends, S.SERIES)
         .filter(F.col(S.DATE) >= F.date_sub("_end", days))
         .drop("_end")
     )
