@@ -52,6 +52,11 @@ READERS = {
     "test_actuals": (lambda f: forecast.test_actuals(forecast.training_view(f)), 366),
     "surging_series": (lambda f: present.surging_series(f), 1),
     "chart_period": (lambda f: present.chart_period(f, 180), 181),
+    "chart_frame": (
+        lambda f: present.chart_frame(f, f.sparkSession.createDataFrame([], S.OUTPUT_SCHEMA), 30),
+        31,
+    ),
+    "future_exogenous": (lambda f: forecast.future_exogenous(forecast.training_view(f)), 1),
     "compare_pivot": (lambda f: present.compare_pivot(f, ["S1", "S2"], 180), 181),
 }
 

@@ -69,6 +69,19 @@ def leading(
     return df.filter(F.col(date) <= cutoff(df if anchor is None else anchor, n, unit, date))
 
 
+def since_first_end(
+    df: DataFrame, days: int = 0, *, series: str = SERIES, date: str = DATE
+) -> DataFrame:
+    """Rows from ``days`` before the earliest of the series' last days on.
+
+    Nothing that counts back from a series' own last day lies before that. On a
+    stored table finding it takes two columns, and the rest of the history is
+    skipped by the scan.
+    """
+    ends = df.groupBy(series).agg(F.max(date).alias("_end"))
+    return df.filter(F.col(date) >= ends.agg(F.date_sub(F.min("_end"), days)).scalar())
+
+
 def date_between(
     df: DataFrame,
     low: str | Date | None = None,

@@ -15,6 +15,7 @@ from tidemark.functions.filters import (
     latest,
     latest_per_key,
     leading,
+    since_first_end,
     trailing,
     without_series,
 )
@@ -63,7 +64,8 @@ def test_exogenous(training: DataFrame, holdout: int = 30) -> DataFrame:
 
 def future_exogenous(training: DataFrame, days: int = 30) -> DataFrame:
     """Each series' own last values on the ``days`` after the global last day."""
-    last = latest_per_key(training.drop(S.TARGET), [S.SERIES], S.DATE)
+    recent = since_first_end(training.drop(S.TARGET))
+    last = latest_per_key(recent, [S.SERIES], S.DATE)
     values = [c for c in last.columns if c not in (S.SERIES, S.DATE)]
     return last.select(S.SERIES, horizon(days), *values).select(
         S.SERIES, F.date_add(latest(training), F.col("step")).alias(S.DATE), *values

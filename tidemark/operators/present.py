@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.aggregates import PAGE_SIZE, exact_median, text_pages
-from tidemark.functions.filters import latest, only_values, select_available, trailing
+from tidemark.functions.filters import (
+    latest,
+    only_values,
+    select_available,
+    since_first_end,
+    trailing,
+)
 from tidemark.functions.scalars import thousands, tier_order
 
 PERIODS = {"6 months": 180, "1 year": 365, "all": None}
@@ -45,10 +51,8 @@ def chart_period(features: DataFrame, days: int | None = 365) -> DataFrame:
     if days is None:
         return features
     ends = features.groupBy(S.SERIES).agg(F.max(S.DATE).alias("_end"))
-    # No series needs a day before this one, so the scan may skip them all.
-    earliest = ends.agg(F.date_sub(F.min("_end"), days)).scalar()
     return (
-        features.filter(F.col(S.DATE) >= earliest)
+        since_first_end(features, days)
         .join(ends, S.SERIES)
         .filter(F.col(S.DATE) >= F.date_sub("_end", days))
         .drop("_end")
@@ -62,7 +66,8 @@ def chart_frame(features: DataFrame, output: DataFrame, days: int | None = 365)
     meet; its day therefore appears twice. Series without a forecast have none.
     """
     empty = F.lit(None).cast("double")
-    history = chart_period(features, days).select(
+    recent = chart_period(features, days)
+    history = recent.select(
         S.SERIES,
         S.DATE,
         F.col("cases_7d_avg").alias("actual"),
@@ -80,7 +85,7 @@ def chart_frame(features: DataFrame, output: DataFrame, days: int | None = 365)
     )
     last = F.col("last")
     bridge = (
-        features.groupBy(S.SERIES)
+        recent.groupBy(S.SERIES)
         .agg(F.max(S.DATE).alias(S.DATE), F.max_by("cases_7d_avg", S.DATE).alias("last"))
         .join(forecast.select(S.SERIES), S.SERIES, "left_semi")
         .select(S.SERIES, S.DATE, *[last.alias(c) for c in CHART_COLUMNS[2:]])
@@ -90,7 +95,7 @@ def chart_frame(features: DataFrame, output: DataFrame, days: int | None = 365)
 
 def series_kpis(features: DataFrame, output: DataFrame, evaluation: DataFrame) -> DataFrame:
     """Headline figures of each series that has a forecast."""
-    latest_mean = features.groupBy(S.SERIES).agg(
+    latest_mean = since_first_end(features).groupBy(S.SERIES).agg(
         F.max_by("cases_7d_avg", S.DATE).alias("latest_7d_avg")
     )
     ahead = output.filter(F.col("is_forecast")).groupBy(S.SERIES).agg(

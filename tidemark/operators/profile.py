@@ -144,13 +144,22 @@ def key_map_coverage(
 
 
 def data_profile(panel: DataFrame) -> DataFrame:
-    """Per-series profile: span, totals, peaks, rates and zero-case days."""
+    """Per-series profile: span, totals, peaks, rates and zero-case days.
+
+    Distinct days are counted apart from the rest: only (series, day) pairs go
+    through that shuffle, while all other figures combine on the map side to
+    one row per series.
+    """
     c = F.col
+    days = (
+        panel.select(S.SERIES, S.DATE).distinct().groupBy(S.SERIES).agg(
+            F.count(S.DATE).alias("total_days")
+        )
+    )
     cases, deaths = F.max("cumulative_cases"), F.max("cumulative_deaths")
     recovered = F.max("cumulative_recovered")
     zero_days = count_where(c("new_cases") == 0)
-    return panel.groupBy(S.SERIES).agg(
-        F.count_distinct(S.DATE).alias("total_days"),
+    figures = panel.groupBy(S.SERIES).agg(
         F.min(S.DATE).alias("series_start"),
         F.max(S.DATE).alias("series_end"),
         cases.alias("total_confirmed_cases"),
@@ -172,6 +181,7 @@ def data_profile(panel: DataFrame) -> DataFrame:
         zero_days.alias("zero_case_days"),
         F.round(ratio(zero_days, F.count("*")) * 100, 2).alias("zero_case_pct"),
     )
+    return days.join(figures, S.SERIES)
 
 
 def feature_spot_check(

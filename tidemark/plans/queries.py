@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.aggregates import exact_median
-from tidemark.functions.filters import latest_per_key
+from tidemark.functions.filters import latest_per_key, since_first_end
 from tidemark.operators import features as feat
 from tidemark.operators import forecast as fc
 from tidemark.operators import models, panel, present, profile, risk, text
@@ -173,7 +173,7 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     "test_exogenous": lambda p: fc.test_exogenous(p.training),
     "future_exogenous": lambda p: fc.future_exogenous(p.training),
     "latest_features": lambda p: _rounded(
-        latest_per_key(p.features, [S.SERIES], S.DATE), 2, "wow_change_7d_avg"
+        latest_per_key(since_first_end(p.features), [S.SERIES], S.DATE), 2, "wow_change_7d_avg"
     ),
     "forecast_seasonal_naive": lambda p: _forecast(p, "seasonal_naive"),
     "forecast_linear_trend": lambda p: _forecast(p, "linear_trend"),
