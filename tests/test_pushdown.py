@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.functions.filters import latest_per_key, since_first_end
 from tidemark.operators import forecast, present, risk
 from tidemark.sources.layers import LayerStore
 
@@ -56,7 +57,10 @@ READERS = {
         lambda f: present.chart_frame(f, f.sparkSession.createDataFrame([], S.OUTPUT_SCHEMA), 30),
         31,
     ),
-    "future_exogenous": (lambda f: forecast.future_exogenous(forecast.training_view(f)), 1),
+    "future_exogenous": (lambda f: forecast.future_exogenous(forecast.training_view(f)), 366),
+    "latest_features": (
+        lambda f: latest_per_key(since_first_end(f), [S.SERIES], S.DATE), 1
+    ),
     "compare_pivot": (lambda f: present.compare_pivot(f, ["S1", "S2"], 180), 181),
 }
 
