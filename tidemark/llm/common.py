@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +78,11 @@ def own(df: DataFrame, *names: str) -> list[str]:
 def col(name: str) -> Column:
     """A column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def by_value(module: str) -> None:
+    """Lets Spark send the functions of this module along with a task.
+
+    Python workers on other machines then need not have the package installed.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])
