@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, simhash_pivot
+from tidemark.llm import exact_dedup, hmm, mixing, simhash_pivot
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+def op4_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pivot.near(table(spark, sf_dir, "documents"))
 
@@ -28,5 +32,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op5_simhash_pivot, op10_source_mix)
+    named = (op1_exact_dedup, op4_hmm_score, op5_simhash_pivot, op10_source_mix)
     return {q.__name__: q for q in named}
