@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, hmm, mixing, simhash_pivot
+from tidemark.llm import exact_dedup, hmm, mixing, simhash_pivot, winnow
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = winnow.edited(table(spark, sf_dir, "documents"))
+    sets = {p: winnow.hashes(F.col(p)) for p in ("picks", "edited_picks", "next_picks")}
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnow.digest(F.col("picks")).alias("fingerprint"),
+        winnow.digest(F.col("edited_picks")).alias("edited_fingerprint"),
+        winnow.likeness(sets["picks"], sets["edited_picks"]).alias("near_edited"),
+        winnow.likeness(sets["picks"], sets["next_picks"]).alias("near_next"),
+    )
+
+
 def op4_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"))
 
@@ -32,5 +46,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op4_hmm_score, op5_simhash_pivot, op10_source_mix)
+    named = (op1_exact_dedup, op2_winnow, op4_hmm_score, op5_simhash_pivot, op10_source_mix)
     return {q.__name__: q for q in named}
