@@ -152,7 +152,7 @@ def edited(
     The last third (floor) of a text's code points is replaced by as many first
     ones of the next document in descending order of the integer identifier.
     Gives doc_id, text, edited, picks, edited_picks, next_picks. Null texts are
-    empty; null identifiers are the least. Rows that share an identifier follow
+    empty; null identifiers (and the least long, which is given back as null) are the least. Rows that share an identifier follow
     the same document and count as one, with the greatest of their texts, for
     the one before. A single document follows itself. An empty table gives no
     rows; other columns are not read.
@@ -161,9 +161,9 @@ def edited(
     need = F.floor(F.length(whole(col(text_col))) / 3).cast("int")
     ids = docs.select(key.alias("id"), need.alias("need")).groupBy("id").agg(F.max("need").alias("need"))
     before = following(ids).select(F.col("id").alias("before"), "need", F.col("next").alias("follows"))
+    # Both joins below read all three columns and no other, and so share one shuffle of the texts.
     texts = docs.select(
-        key.alias("id"), col(id_col).alias("doc_id"), whole(col(text_col)).alias("text"),
-        selected(col(text_col), gram, window).alias("picks"),
+        key.alias("id"), whole(col(text_col)).alias("text"), selected(col(text_col), gram, window).alias("picks")
     )
     after = texts.join(before, F.col("id") == F.col("follows")).select(
         "id", "before", F.struct(F.expr("substring(text, 1, need)").alias("start"), "picks").alias("next")
@@ -176,6 +176,6 @@ def edited(
         "edited", F.expr("concat(substring(text, 1, kept), substring(next.start, 1, length(text) - kept))")
     )
     return rows.select(
-        "doc_id", "text", "edited", "picks", selected(F.col("edited"), gram, window).alias("edited_picks"),
+        F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), "text", "edited", "picks", selected(F.col("edited"), gram, window).alias("edited_picks"),
         F.col("next.picks").alias("next_picks"),
     )
