@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, hmm, mixing, simhash_pivot, winnow
+from tidemark.llm import exact_dedup, hmm, mixing, simhash_pivot, toxicity, winnow
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op5_simhash_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pivot.near(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
@@ -46,5 +51,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op2_winnow, op4_hmm_score, op5_simhash_pivot, op10_source_mix)
+    named = (op1_exact_dedup, op2_winnow, op4_hmm_score, op5_simhash_pivot, op8_toxicity, op10_source_mix)
     return {q.__name__: q for q in named}
