@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, hmm, mixing, simhash_pivot, toxicity, winnow
-from tidemark.llm.common import table
+from tidemark.llm import exact_dedup, hmm, mixing, sentencepiece_fst, simhash_pivot, toxicity, winnow
+from tidemark.llm.common import table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,21 @@ def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    machine = sentencepiece_fst.compile_model()
+    docs = table(spark, sf_dir, "documents").select("doc_id", whole(F.col("text")).alias("text"))
+    rows = sentencepiece_fst.decode(sentencepiece_fst.encode(docs, machine), machine)
+    blank = F.regexp_replace("text", sentencepiece_fst.BLANK, " ")
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == blank).alias("round_trip"),
+    )
+
+
 def op4_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"))
 
@@ -51,5 +66,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op2_winnow, op4_hmm_score, op5_simhash_pivot, op8_toxicity, op10_source_mix)
+    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op8_toxicity, op10_source_mix)
     return {q.__name__: q for q in named}
