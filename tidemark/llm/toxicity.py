@@ -150,6 +150,33 @@ def train(
     return Model({r[0]: r[1] for r in out if r[0] is not None}, theta)
 
 
+class Scorer:
+    """Scores texts in a task; remembers which features a word has."""
+
+    def __init__(self, model: Model):
+        names = sorted(model.weights)
+        self.index = {f: i for i, f in enumerate(names)}
+        self.weights = np.array([model.weights[f] for f in names])
+        self.theta = model.theta
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def above(self, texts: Iterator[str | None]) -> np.ndarray:
+        """P(grade > k) by text and k."""
+        z = []
+        for text in texts:
+            hits: set[int] = set()
+            for w in set(WORDS.findall((text or "").lower())):
+                own = self.known.get(w)
+                if own is None:
+                    own = tuple(self.index[f] for f in parts(w) if f in self.index)
+                    if len(w) <= 64 and len(self.known) < 500_000:
+                        self.known[w] = own
+                if own:
+                    hits.update(own)
+            z.append(self.weights[sorted(hits)].sum() if hits else 0.0)
+        return 1.0 - logistic(self.theta[None, :] - np.array(z)[:, None])
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
     """doc_id, severity (expected grade, 0 to 3), p_toxic (of a grade above 0), grade, toxic, row by row.
 
@@ -162,25 +189,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {f: i for i, f in enumerate(sorted(model.weights))}
-        weights = np.array([model.weights[f] for f in sorted(model.weights)])
-        known: dict[str, tuple[int, ...]] = {}
+        scorer = Scorer(model)
         for batch in batches:
-            z = np.zeros(batch.num_rows)
-            for i in range(batch.num_rows):
-                hits: set[int] = set()
-                for w in set(WORDS.findall((batch.column(1)[i].as_py() or "").lower())):
-                    own = known.get(w)
-                    if own is None:
-                        own = tuple(index[f] for f in parts(w) if f in index)
-                        if len(w) <= 64 and len(known) < 500_000:
-                            known[w] = own
-                    if own:
-                        hits.update(own)
-                if hits:
-                    z[i] = weights[sorted(hits)].sum()
-            above = 1.0 - logistic(model.theta[None, :] - z[:, None])
-            p = -np.diff(np.concatenate([np.ones((len(z), 1)), above, np.zeros((len(z), 1))], axis=1), axis=1)
+            if not batch.num_rows:
+                continue
+            above = scorer.above(t.as_py() for t in batch.column(1))
+            edge = np.ones((len(above), 1))
+            p = -np.diff(np.concatenate([edge, above, 0 * edge], axis=1), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -193,3 +208,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             )
 
     return rows.mapInArrow(run, f"doc_id {kind}, severity double, p_toxic double, grade int, toxic int")
+
+
+def survivors(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose p_toxic is below ``least``, with the columns of ``docs``; nothing is shuffled."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            if batch.num_rows:
+                above = scorer.above(t.as_py() for t in batch.column(at))
+                yield batch.filter(pa.array(above[:, 0] < least))
+
+    return docs.mapInArrow(run, docs.schema)
