@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, hmm, mixing, sentencepiece_fst, simhash_pivot, toxicity, winnow
+from tidemark.llm import exact_dedup, hmm, mixing, quality_crf, sentencepiece_fst, simhash_pivot, toxicity, winnow
 from tidemark.llm.common import table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = "crc32(cast(cast(id AS string) AS binary)) % 5 != 0"
+    return quality_crf.score(docs, quality_crf.train(docs, table(spark, sf_dir, "labels"), where=learn))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
@@ -66,5 +72,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op8_toxicity, op10_source_mix)
+    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op8_toxicity, op9_quality_crf, op10_source_mix)
     return {q.__name__: q for q in named}
