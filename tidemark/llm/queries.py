@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, hmm, mixing, quality_crf, sentencepiece_fst, simhash_pivot, toxicity, winnow
+from tidemark.llm import exact_dedup, hmm, html_mincut, mixing, quality_crf, sentencepiece_fst, simhash_pivot, toxicity, winnow
 from tidemark.llm.common import table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,12 @@ def op5_simhash_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pivot.near(table(spark, sf_dir, "documents"))
 
 
+def op6_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rows = html_mincut.extract(pages, html_mincut.train(pages))
+    return rows.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -72,5 +78,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op8_toxicity, op9_quality_crf, op10_source_mix)
+    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op6_html_mincut, op8_toxicity, op9_quality_crf, op10_source_mix)
     return {q.__name__: q for q in named}
