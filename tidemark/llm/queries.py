@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, hmm, html_mincut, mixing, quality_crf, sentencepiece_fst, simhash_pivot, toxicity, winnow
+from tidemark.llm import exact_dedup, hmm, html_mincut, licence_scan, mixing, quality_crf, sentencepiece_fst, simhash_pivot, toxicity, winnow
 from tidemark.llm.common import table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,16 @@ def op6_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licence_scan.licences(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.array_join("matches.licence", ", ").alias("licences"),
+        F.size("matches").cast("bigint").alias("n_matches"),
+        F.array_join(F.transform("matches", lambda m: F.concat_ws("-", m["start"], m["end"])), ", ").alias("spans"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -78,5 +88,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op6_html_mincut, op8_toxicity, op9_quality_crf, op10_source_mix)
+    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op6_html_mincut, op7_licence_scan, op8_toxicity, op9_quality_crf, op10_source_mix)
     return {q.__name__: q for q in named}
