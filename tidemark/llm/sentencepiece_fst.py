@@ -37,8 +37,8 @@ by_value(__name__)
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NEVER = np.int64(1) << 40
-#: Characters of text, and different words, that are worked on together.
-TEXT, KNOWN = 4_000_000, 300_000
+#: Characters of text that are cut and of different words that are composed together; words remembered.
+TEXT, COMPOSED, KNOWN = 1_000_000, 200_000, 200_000
 
 
 class Table:
@@ -304,7 +304,7 @@ def paths(machine: Machine, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             inner = inner[np.isfinite(cost[inner])]
             bad = inner[~accepted(machine, last[s[inner] - 1], y[inner])]
             cost[bad] = np.inf
-        best = np.lexsort((cost, t))
+        best = np.lexsort((s, cost, t))  # of equal paths the one with the longer last piece
         first = best[np.concatenate([[True], t[best][1:] != t[best][:-1]])] if len(best) else best
         weight[t[first]] = cost[first]
         last[t[first]] = np.where(np.isfinite(cost[first]), y[first], -1)
@@ -354,13 +354,16 @@ class Encoder:
                 parts[i] = [own] if own is not None else spelled(machine, w)
             else:
                 usual.append(i)
-        if usual:
-            symbols, counts = paths(machine, [words[i] for i in usual])
+        together = np.cumsum([len(words[i]) for i in usual]) // COMPOSED if usual else np.zeros(0, int)
+        for some in np.split(np.array(usual, int), np.flatnonzero(np.diff(together)) + 1):
+            if not len(some):
+                continue
+            symbols, counts = paths(machine, [words[i] for i in some])
             ends = np.cumsum(counts)
-            for i, lo, hi in zip(usual, (ends - counts).tolist(), ends.tolist()):
+            for i, lo, hi in zip(some.tolist(), (ends - counts).tolist(), ends.tolist()):
                 parts[i] = symbols[lo:hi]
             if symbols.max(initial=0) >= len(machine.pieces):
-                for i in usual:
+                for i in some.tolist():
                     parts[i] = self.expand(parts[i])
         sizes = np.array([len(p) for p in parts])
         base = self.start[-1]

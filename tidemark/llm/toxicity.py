@@ -146,6 +146,8 @@ def train(
         )
 
     out = rows.repartition(1).mapInArrow(run, "feature string, value double").collect()  # 4,099 rows at most
+    if not out:
+        return fit([], np.zeros(0, int))
     theta = np.array([r[1] for r in out if r[0] is None])
     return Model({r[0]: r[1] for r in out if r[0] is not None}, theta)
 
