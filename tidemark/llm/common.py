@@ -6,9 +6,11 @@ import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word: anything between ASCII white space. ``bytes.split()`` cuts alike.
@@ -80,9 +82,25 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def mapped(rows: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name, dots included: by position."""
+    plain = [f"c{i}" for i in range(len(rows.columns))]
+    names = [f"c{i}" for i in range(len(schema))]
+    fields = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema)])
+
+    def renamed(batches):
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names)
+
+    return rows.toDF(*plain).mapInArrow(renamed, fields).toDF(*schema.names)
+
+
 def by_value(module: str) -> None:
     """Lets Spark send the functions of this module along with a task.
 
     Python workers on other machines then need not have the package installed.
     """
     cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+by_value(__name__)

@@ -11,9 +11,10 @@ from tidemark.llm.common import settled
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) edges of one type -> (node, label), the label being the least node reachable.
 
-    A round hooks every label to the least label next to it, follows the hooks
-    once more, and contracts the edges, so that paths shorten by a factor each
-    round and stars vanish in one. All steps are joins on a label and minima,
+    A round hooks every label to the least label next to it, follows the hooks to
+    their ends (doubling the reach each time), and contracts the edges. Only
+    labels less than all beside them are left, at most half; so rounds, and the
+    doublings in each, grow with the logarithm of the graph. All steps are joins on a label and minima,
     which combine before the shuffle; a hub's edges are an ordinary skewed join.
     Nodes without edges are not in the result; nulls and loops are ignored.
     """
@@ -24,11 +25,14 @@ def components(edges: DataFrame) -> DataFrame:
     while not rest.isEmpty():
         turned = rest.union(rest.select("b", "a"))
         hooks = turned.groupBy("a").agg(F.min("b").alias("b"))
-        hooks = settled(hooks.select(F.col("a").alias("old"), F.least("a", "b").alias("mid")))
-        onward = hooks.select(F.col("old").alias("at"), F.col("mid").alias("end"))
-        hooks = settled(
-            hooks.join(onward, F.col("mid") == F.col("at")).select("old", F.col("end").alias("new"))
-        )
+        hooks = settled(hooks.select(F.col("a").alias("old"), F.least("a", "b").alias("new")))
+        moving = True
+        while moving:
+            onward = hooks.select(F.col("old").alias("at"), F.col("new").alias("end"))
+            jumped = hooks.join(onward, F.col("new") == F.col("at"))
+            jumped = settled(jumped.select("old", F.col("end").alias("new"), (F.col("end") != F.col("new")).alias("moved")))
+            moving = not jumped.where("moved").isEmpty()
+            hooks = jumped.drop("moved")
         labels = settled(
             labels.join(hooks, F.col("label") == F.col("old"), "left").select(
                 "node", F.coalesce("new", "label").alias("label")

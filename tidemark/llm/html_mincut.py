@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, col, own
+from tidemark.llm.common import by_value, col, mapped, own
 
 by_value(__name__)
 
@@ -394,13 +395,14 @@ def extract(pages: DataFrame, weights: np.ndarray, html_col: str = "html", name:
     The whole page is read. Repeated rows are rows; an empty table gives none.
     """
     rest = [c for c in pages.columns if c.lower() != name.lower() and c != html_col]
-    (page,) = own(pages.select(*(col(c) for c in rest)), "page_html")
+    kept = pages.select(*(col(c) for c in rest))
+    (page,) = own(kept, "page_html")
     rows = pages.select(*(col(c) for c in rest), col(html_col).cast("string").alias(page))
-    schema = rows.drop(page).withColumn(name, F.lit("")).schema
+    schema = T.StructType([*kept.schema, T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(p.as_py(), weights) for p in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*rest, name])
 
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)

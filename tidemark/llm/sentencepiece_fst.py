@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, col, own
+from tidemark.llm.common import by_value, col, mapped, own
 
 by_value(__name__)
 
@@ -290,7 +291,8 @@ def paths(machine: Machine, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     # Compose with G and take least weights, boundary after boundary of all words in step.
     # A boundary is known by the character before it, or by its word's first character less one.
     reach = target - begin[source]
-    order = np.argsort(reach, kind="stable")
+    short = reach.astype(np.int16) if len(codes) < 1 << 15 or reach.max() < 1 << 15 else reach  # sorts faster
+    order = np.argsort(short, kind="stable")
     source, target, symbol, reach = source[order], target[order], symbol[order], reach[order]
     cuts = np.searchsorted(reach, np.arange(1, (lengths.max() if len(lengths) else 0) + 2))
     last = np.full(len(codes), -1)  # symbol that ends here on the best path
@@ -304,6 +306,9 @@ def paths(machine: Machine, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             inner = inner[np.isfinite(cost[inner])]
             bad = inner[~accepted(machine, last[s[inner] - 1], y[inner])]
             cost[bad] = np.inf
+            good = np.isfinite(cost)  # one arc for a boundary at most
+            weight[t[good]], last[t[good]] = 0.0, y[good]
+            continue
         best = np.lexsort((s, cost, t))  # of equal paths the one with the longer last piece
         first = best[np.concatenate([[True], t[best][1:] != t[best][:-1]])] if len(best) else best
         weight[t[first]] = cost[first]
@@ -346,30 +351,29 @@ class Encoder:
         self.start = np.zeros(1, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        machine, parts = self.machine, [None] * len(words)
-        usual = []
-        for i, w in enumerate(words):
-            if machine.alphabet[ord(w[-1])] < 0:  # a character that stands alone
-                own = machine.single.get(w)
-                parts[i] = [own] if own is not None else spelled(machine, w)
-            else:
-                usual.append(i)
-        together = np.cumsum([len(words[i]) for i in usual]) // COMPOSED if usual else np.zeros(0, int)
-        for some in np.split(np.array(usual, int), np.flatnonzero(np.diff(together)) + 1):
-            if not len(some):
+        machine, ids, sizes, order = self.machine, [self.ids], [], []
+        usual = [w for w in words if machine.alphabet[ord(w[-1])] >= 0]
+        together = np.cumsum([len(w) for w in usual]) // COMPOSED if usual else np.zeros(0, int)
+        cuts = [0, *(np.flatnonzero(np.diff(together)) + 1).tolist(), len(usual)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if lo == hi:
                 continue
-            symbols, counts = paths(machine, [words[i] for i in some])
-            ends = np.cumsum(counts)
-            for i, lo, hi in zip(some.tolist(), (ends - counts).tolist(), ends.tolist()):
-                parts[i] = symbols[lo:hi]
+            symbols, counts = paths(machine, usual[lo:hi])
             if symbols.max(initial=0) >= len(machine.pieces):
-                for i in some.tolist():
-                    parts[i] = self.expand(parts[i])
-        sizes = np.array([len(p) for p in parts])
-        base = self.start[-1]
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
-        self.ids = np.concatenate([self.ids, *(np.asarray(p, np.int32) for p in parts)])
-        self.start = np.concatenate([self.start, base + np.cumsum(sizes)])
+                parts = [self.expand(x) for x in np.split(symbols, np.cumsum(counts)[:-1])]
+                symbols, counts = np.concatenate(parts), np.array([len(x) for x in parts])
+            ids.append(symbols.astype(np.int32))
+            sizes.append(counts)
+            order += usual[lo:hi]
+        for w in words:
+            if machine.alphabet[ord(w[-1])] < 0:  # a character that stands alone
+                own = machine.single.get(w)
+                ids.append(np.array([own] if own is not None else spelled(machine, w), np.int32))
+                sizes.append([len(ids[-1])])
+                order.append(w)
+        self.place.update(zip(order, range(len(self.place), len(self.place) + len(order))))
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
+        self.ids = np.concatenate(ids)
 
     def expand(self, symbols: np.ndarray) -> list[int]:
         out = []
@@ -409,9 +413,10 @@ def encode(docs: DataFrame, machine: Machine, text_col: str = "text", name: str
     rows are rows; an empty table gives no rows.
     """
     rest = [c for c in docs.columns if c.lower() != name.lower()]
-    (text,) = own(docs.select(*(col(c) for c in rest)), "text_to_encode")
+    kept = docs.select(*(col(c) for c in rest))
+    (text,) = own(kept, "text_to_encode")
     rows = docs.select(*(col(c) for c in rest), F.coalesce(col(text_col).cast("string"), F.lit("")).alias(text))
-    schema = rows.drop(text).withColumn(name, F.array().cast("array<int>")).schema
+    schema = T.StructType([*kept.schema, T.StructField(name, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(machine)
@@ -429,15 +434,16 @@ def encode(docs: DataFrame, machine: Machine, text_col: str = "text", name: str
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*rest, name])
                     texts, size, at = [], 0, i + 1
 
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)
 
 
 def decode(docs: DataFrame, machine: Machine, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """``docs`` with the text of an array of ids, replacing a column of that name; null as empty."""
     rest = [c for c in docs.columns if c.lower() != name.lower()]
-    (ids,) = own(docs.select(*(col(c) for c in rest)), "ids_to_decode")
+    kept = docs.select(*(col(c) for c in rest))
+    (ids,) = own(kept, "ids_to_decode")
     rows = docs.select(*(col(c) for c in rest), col(ids_col).alias(ids))
-    schema = rows.drop(ids).withColumn(name, F.lit("")).schema
+    schema = T.StructType([*kept.schema, T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -445,4 +451,4 @@ def decode(docs: DataFrame, machine: Machine, ids_col: str = "ids", name: str =
             texts = [decode_ids(machine, x.values.to_numpy() if x.is_valid else ()) for x in lists]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*rest, name])
 
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)

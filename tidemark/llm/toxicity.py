@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import by_value, col
+from tidemark.llm.common import by_value, col, mapped
 from tidemark.llm.labelled import sample
 
 by_value(__name__)
@@ -223,4 +223,4 @@ def survivors(docs: DataFrame, model: Model, text_col: str = "text", least: floa
                 above = scorer.above(t.as_py() for t in batch.column(at))
                 yield batch.filter(pa.array(above[:, 0] < least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -104,10 +104,14 @@ def pairs(picks: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", name: str = "fingerprint", **sizes) -> DataFrame:
-    """``docs`` with an array of (hash, position). Null texts count as empty and have an empty array."""
+    """``docs`` with an array of (hash, position), replacing a column of that name.
+
+    Null texts count as empty and have an empty array.
+    """
     (picks,) = own(docs, "picks")
-    out = docs.withColumn(picks, selected(col(text_col), **sizes)).withColumn(name, pairs(F.col(picks)))
-    return out.drop(picks)
+    rest = [c for c in docs.columns if c.lower() != name.lower()]
+    out = docs.withColumn(picks, selected(col(text_col), **sizes))
+    return out.select(*(col(c) for c in rest), pairs(F.col(picks)).alias(name))
 
 
 def likeness(a: Column, b: Column) -> Column:
