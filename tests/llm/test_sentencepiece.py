@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -98,5 +99,7 @@ def test_frames(spark, docs, none):
         assert r["digest"] == THEIRS.encode(r["text"] or "") and r["mark"] == (r["text"] or "")
         assert r["a.b"] == "dot"
     assert op.encode(none, MACHINE).collect() == []
+    for r in op.encode(docs, MACHINE, proof=True).collect():
+        assert r.round_trip and r.decoded_sha256 == hashlib.sha256((r["text"] or "").encode()).hexdigest()
     one = spark.createDataFrame([(1, None)], "i int, ids array<int>")
     assert op.decode(one, MACHINE).collect()[0].decoded == ""

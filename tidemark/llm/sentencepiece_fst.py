@@ -21,6 +21,7 @@ all trie walks in step, then all shortest paths, boundary by boundary.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,7 +29,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import by_value, col, mapped, own
@@ -39,7 +39,7 @@ BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NEVER = np.int64(1) << 40
 #: Characters of text that are cut and of different words that are composed together; words remembered.
-TEXT, COMPOSED, KNOWN = 1_000_000, 200_000, 200_000
+TEXT, COMPOSED, KNOWN = 500_000, 50_000, 150_000
 
 
 class Table:
@@ -406,33 +406,45 @@ def decode_ids(machine: Machine, ids) -> str:
     return data.decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, machine: Machine, text_col: str = "text", name: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame, machine: Machine, text_col: str = "text", name: str = "ids", *, proof: bool = False
+) -> DataFrame:
     """``docs`` with an array of piece ids, replacing a column of that name.
 
-    Whole texts are encoded; null and empty ones have an empty array. Repeated
-    rows are rows; an empty table gives no rows.
+    Whole texts are encoded; null and empty ones have an empty array. With
+    ``proof`` the ids are decoded again in the same task, and two columns more
+    hold the SHA-256 of the decoded text and whether it is the text, a literal
+    U+2581 counting as a blank. Repeated rows are rows; an empty table gives no rows.
     """
-    rest = [c for c in docs.columns if c.lower() != name.lower()]
-    kept = docs.select(*(col(c) for c in rest))
-    (text,) = own(kept, "text_to_encode")
-    rows = docs.select(*(col(c) for c in rest), F.coalesce(col(text_col).cast("string"), F.lit("")).alias(text))
-    schema = T.StructType([*kept.schema, T.StructField(name, T.ArrayType(T.IntegerType()))])
+    more = [T.StructField(name, T.ArrayType(T.IntegerType()))]
+    if proof:
+        more += [T.StructField("decoded_sha256", T.StringType()), T.StructField("round_trip", T.BooleanType())]
+    new = {f.name.lower() for f in more}
+    at = next(i for i, c in enumerate(docs.columns) if c.lower() == text_col.lower())
+    rows = docs.select(*(col(c).cast("string").alias(c) if i == at else col(c) for i, c in enumerate(docs.columns)))
+    keep = [i for i, c in enumerate(docs.columns) if c.lower() not in new]
+    schema = T.StructType([*(rows.schema[i] for i in keep), *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(machine)
         for batch in batches:
-            texts, size, at = [], 0, 0
-            column = batch.column(batch.num_columns - 1)
+            texts, size, start = [], 0, 0
             for i in range(batch.num_rows):
-                texts.append(column[i].as_py())
+                texts.append(batch.column(at)[i].as_py() or "")
                 size += len(texts[-1])
-                if size >= TEXT or i + 1 == batch.num_rows:
-                    ids, counts = encoder.encode(texts)
-                    part = batch.slice(at, len(texts))
-                    offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                    lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*rest, name])
-                    texts, size, at = [], 0, i + 1
+                if size < TEXT and i + 1 < batch.num_rows:
+                    continue
+                ids, counts = encoder.encode(texts)
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                part = batch.slice(start, len(texts))
+                out = [part.column(k) for k in keep]
+                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32))))
+                if proof:
+                    back = [decode_ids(machine, ids[a:b].tolist()) for a, b in zip(ends, ends[1:])]
+                    out.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back], pa.string()))
+                    out.append(pa.array([t == x.replace(BLANK, " ") for t, x in zip(back, texts)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(out, schema.names)
+                texts, size, start = [], 0, i + 1
 
     return mapped(rows, run, schema)
 
