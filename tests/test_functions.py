@@ -40,11 +40,13 @@ def test_median_ignores_nulls_and_of_nothing_is_null(spark):
 
 def test_pages_hold_every_row_once(spark):
     df = spark.range(95).select(F.col("id").cast("string").alias("k"), "id")
-    pages = text_pages(df, "k", F.col("k"), F.col("id"), ",", page_size=10).collect()
-    got = [k for p in pages for k in p.listing.split(",")]
-    assert sorted(map(int, got)) == list(range(95)) and len(pages) == 10
-    for p in pages:
-        assert list(map(int, p.listing.split(","))) == sorted(map(int, p.listing.split(",")))
+    for size in (10, 95, 1000):
+        pages = text_pages(df, "k", F.col("k"), F.col("id"), ",", size, F.floor(F.col("id") / 7))
+        pages = pages.orderBy("page").collect()
+        # The pages joined are the listing in its global order, at any size.
+        got = [k for p in pages for k in p.listing.split(",")]
+        assert list(map(int, got)) == list(range(95)) and len(pages) == -(-95 // size)
+        assert all(len(p.listing.split(",")) == size for p in pages[:-1])
 
 
 def test_noise_is_decided_by_the_key(spark):

@@ -27,9 +27,9 @@ def test_tier_bounds_are_strict(spark, change, name):
 @pytest.mark.parametrize(
     "change, words",
     [
-        (20.01, "a sharp increase of 20.01%"), (20.0, "a moderate increase of 20.00%"),
-        (5.0, "stable"), (-4.99, "stable"), (-5.0, "a decline of 5.00%"),
-        (-20.0, "a significant decline of 20.00%"),
+        (20.01, "climbing fast, by 20.01%"), (20.0, "climbing, by 20.00%"),
+        (5.0, "stable"), (-4.99, "stable"), (-5.0, "easing, by 5.00%"),
+        (-20.0, "falling fast, by 20.00%"),
     ],
 )
 def test_trend_phrase(spark, change, words):
@@ -78,11 +78,11 @@ def stats(spark):
 
 
 def test_rollup_lists_by_falling_trend(spark):
-    r = risk.global_rollup(stats(spark)).collect()
+    r = risk.global_rollup(stats(spark), 100).collect()
     assert len(r) == 1
     assert r[0].all_countries_summary == (
-        "B (HIGH, 30.00% trend, 5 cases); A (MODERATE, 12.30% trend, 12345678 cases); "
-        "C (LOW, -7.00% trend, 0 cases)"
+        "B: HIGH, change 30.00%, cases 5; A: MODERATE, change 12.30%, cases 12345678; "
+        "C: LOW, change -7.00%, cases 0"
     )
     assert (r[0].high_risk_count, r[0].moderate_risk_count, r[0].low_risk_count) == (1, 1, 1)
     assert (r[0].global_cases_30d, r[0].global_deaths_30d, r[0].series_count) == (12345683, 3, 3)
@@ -97,14 +97,15 @@ def test_large_rollups_are_paged_without_loss(spark):
         F.col("id").alias("cases_last_30d"),
         F.lit(1).cast("bigint").alias("deaths_last_30d"),
     )
-    pages = risk.global_rollup(many, page_size=20).collect()
+    pages = risk.global_rollup(many, page_size=20).orderBy("page").collect()
     assert len(pages) == 25
     items = [i for p in pages for i in p.all_countries_summary.split("; ")]
     assert len(items) == len(set(items)) == n
     assert {p.low_risk_count for p in pages} == {n}
-    for p in pages:
-        trends = [float(i.split(", ")[1].split("%")[0]) for i in p.all_countries_summary.split("; ")]
-        assert trends == sorted(trends, reverse=True)
+    trends = [float(i.split("change ")[1].split("%")[0]) for i in items]
+    assert trends == sorted(trends, reverse=True)
+    (none,) = risk.global_rollup(many.limit(0), page_size=20).collect()
+    assert (none.page, none.all_countries_summary, none.series_count) == (0, None, 0)
 
 
 def test_tier_order(spark):
@@ -119,4 +120,4 @@ def test_feature_text_keeps_five_ranks_and_strips_quotes(spark):
     out = risk.top_feature_text(spark.createDataFrame(rows, S.IMPORTANCE_SCHEMA)).first()
     assert out.country_region == "A B"
     lines = out.feature_list.split("\n")
-    assert len(lines) == 5 and lines[2] == "3. f3 (importance: 0.333)"
+    assert len(lines) == 5 and lines[2] == "3. f3, weight 0.333"

@@ -32,7 +32,7 @@ def test_briefing_holds_all_fields(spark):
     assert facts.split("\n") == [
         "Place: A B",
         "New cases in 30 days: 12345678",
-        "Trend: a sharp increase of 25.50% on the month before",
+        "Trend: climbing fast, by 25.50% on the month before",
         "Deaths in 30 days: 7",
         "Cases per day at present: 40",
         "Fully vaccinated: 61.2%",

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PAGE_SIZE = 1000
-
-
 def conditional_sum(value: str, condition: Column) -> Column:
     return F.sum(F.when(condition, F.col(value)).otherwise(F.lit(0)))
 
@@ -22,31 +19,31 @@ def text_pages(
     item: Column,
     order: Column,
     separator: str,
-    page_size: int = PAGE_SIZE,
+    page_size: int,
+    bucket: Column,
 ) -> DataFrame:
-    """All ``item`` texts joined in ``order``, in pages of about ``page_size`` keys.
+    """All ``item`` texts in ``order``, ``page_size`` on each page, pages numbered from 0.
 
-    Up to ``page_size`` rows there is one page, numbered 0, with everything in
-    it. Beyond that the keys are spread over pages by hash, so no task ever
-    builds one string from an unbounded number of rows and no row is left out.
-    ``key`` must be unique, which keeps the pages even. An empty ``df`` has no
-    page.
+    The pages joined in order are the whole listing at any size. ``bucket`` is a
+    value that never falls as ``order`` rises: positions are row numbers inside
+    a bucket plus the rows of all buckets before it, so that only the counts, a
+    row per bucket, meet in one task. Ties are in order of ``key``, which must
+    be unique. An empty ``df`` has no page.
     """
-    total = df.agg(F.count("*")).scalar()
-    pages = F.greatest(F.ceil(total / F.lit(page_size)), F.lit(1)).cast("bigint")
-    paged = (
-        df.select(
-            F.pmod(F.xxhash64(F.col(key)), pages).cast("int").alias("page"),
-            item.alias("_item"),
-            order.alias("_order"),
-            F.col(key).alias("_key"),
-        )
-        .groupBy("page")
-        .agg(F.sort_array(F.collect_list(F.struct("_order", "_key", "_item"))).alias("_list"))
+    rows = df.select(
+        bucket.alias("_bucket"), order.alias("_order"), F.col(key).alias("_key"), item.alias("_item")
+    )
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(F.col("_bucket").alias("_of")).agg(F.count("*").alias("_n"))
+    starts = counts.select("_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_bucket").orderBy("_order", "_key")
+    placed = rows.join(starts, F.col("_bucket").eqNullSafe(F.col("_of"))).withColumn(
+        "_place", F.col("_start") + F.row_number().over(inside) - 1
     )
-    return paged.select(
-        "page", F.array_join(F.col("_list._item"), separator).alias("listing")
+    paged = placed.groupBy(F.floor(F.col("_place") / page_size).alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("_place", "_item"))).alias("_list")
     )
+    return paged.select("page", F.array_join(F.col("_list._item"), separator).alias("listing"))
 
 
 def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.aggregates import PAGE_SIZE, exact_median, text_pages
+from tidemark.functions.aggregates import exact_median, text_pages
 from tidemark.functions.filters import (
     latest,
     only_values,
@@ -40,10 +40,11 @@ def surging_series(features: DataFrame) -> DataFrame:
     ).select(S.SERIES, S.DATE, "wow_growth_pct")
 
 
-def surge_alert(features: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def surge_alert(features: DataFrame, page_size: int) -> DataFrame:
     """The surging series in one text (in pages, should there be very many)."""
     name = F.col(S.SERIES)
-    return text_pages(surging_series(features), S.SERIES, name, name, ", ", page_size)
+    bucket = F.substring(name, 1, 2)  # in the order of names
+    return text_pages(surging_series(features), S.SERIES, name, name, ", ", page_size, bucket)
 
 
 def chart_period(features: DataFrame, days: int | None = 365) -> DataFrame:

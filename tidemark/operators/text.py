@@ -139,25 +139,26 @@ def complete(
     """Replace each prompt by its completion and stamp the time.
 
     ``fn`` takes a batch of prompts and returns as many texts. It runs in the
-    executors, on Arrow batches. Without one the facts paragraph of the prompt
-    stands for the text.
+    executors, on Arrow batches, and never sees a null prompt: its text is null.
+    Without one the facts paragraph of the prompt stands for the text.
     """
-
-    # Local, so that it travels with the task and workers need not import it.
-    def facts(batch: list[str]) -> list[str]:
-        return [p.split("\n\n")[1] for p in batch]
-
-    answer = fn or facts
+    if fn is None:
+        facts = F.split_part(F.col(prompt), F.lit("\n\n"), F.lit(2)).alias(out)
+        rest = [F.col(c) for c in prompts.columns if c != prompt]
+        return prompts.select(*rest, facts).withColumn("generated_at", F.current_timestamp())
     rest = [f for f in prompts.schema if f.name != prompt]
     schema = T.StructType([*rest, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = list(answer(batch[prompt].tolist()))
-            if len(texts) != len(batch):
-                raise ValueError(f"{len(batch)} prompts gave {len(texts)} texts")
+            given = batch[prompt].notna()
+            asked = batch.loc[given, prompt].tolist()
+            texts = list(fn(asked)) if asked else []
+            if len(texts) != len(asked):
+                raise ValueError(f"{len(asked)} prompts gave {len(texts)} texts")
             done = batch.drop(columns=prompt)
-            done[out] = pd.Series(texts, index=done.index, dtype=object)
+            done[out] = None
+            done.loc[given, out] = texts
             yield done
 
     return prompts.mapInPandas(run, schema).withColumn("generated_at", F.current_timestamp())

@@ -38,6 +38,7 @@ class Pipeline:
         holdout: int = 30,
         interval: float = 0.95,
         complete: Callable[[list[str]], list[str]] | None = None,
+        page_size: int = 1000,
         store: LayerStore | None = None,
     ):
         self.long, self.vacc, self.key_map = long, vacc, key_map
@@ -45,17 +46,26 @@ class Pipeline:
         self.method = method
         self.horizon, self.holdout, self.interval = horizon, holdout, interval
         self.complete = complete
+        self.page_size = page_size
+        self._others: dict[str, Pipeline] = {method: self}
         self.spark: SparkSession = long.sparkSession
         self.store = store or LayerStore(self.spark)
 
     def with_method(self, method: str) -> Pipeline:
-        """The same pipeline with another forecast method; panel and features are shared."""
+        """The same pipeline with another forecast method, one for each method.
+
+        Panel and features are shared.
+        """
+        if method in self._others:
+            return self._others[method]
         other = Pipeline(
             self.long, self.vacc, self.key_map, exclude=self.exclude, method=method,
             horizon=self.horizon, holdout=self.holdout, interval=self.interval,
-            complete=self.complete, store=self.store,
+            complete=self.complete, page_size=self.page_size, store=self.store,
         )
         other.__dict__.update(panel=self.panel, features=self.features)
+        other._others = self._others
+        self._others[method] = other
         return other
 
     # -- intermediate layer
@@ -141,7 +151,7 @@ class Pipeline:
 
     @property
     def rollup(self) -> DataFrame:
-        return risk.global_rollup(self.stats)
+        return risk.global_rollup(self.stats, self.page_size)
 
     @cached_property
     def narratives(self) -> DataFrame:

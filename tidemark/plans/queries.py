@@ -25,11 +25,12 @@ from tidemark.sources.layers import LayerStore
 METHOD = "linear_trend"
 SERIES = "NATION_3"
 SUB_REGION = "BUILDING"
-CHECK_DAY = "1998-06-01"
+CHECK_DAY = "1998-06-02"
 CHECK_TYPE = "Confirmed"
 CHECK_FROM, CHECK_TO = "1998-03-01", "1998-03-31"
 STUB_SINCE = "2001-01-01"
 SEED = 42
+PAGE = 10
 NAMES = ["NATION_1", "NATION_2", "NATION_3", "NATION_7", "NATION_11", "NATION_24", "ATLANTIS"]
 COMPARED = ["NATION_1", "NATION_2", "NATION_3", "NATION_7", "NATION_11"]
 
@@ -55,6 +56,7 @@ def pipeline_over(
         tpch.nation_key_map(spark, sf_dir),
         exclude=tpch.EXCLUDED,
         method=METHOD,
+        page_size=PAGE,
         store=store,
     )
 
@@ -222,6 +224,9 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
         p.stats, risk.top_feature_text(p.importance)
     ),
     "narratives": lambda p: text.complete(text.prompt_briefing(p.stats)).drop("generated_at"),
+    "completion_hook": lambda p: text.complete(
+        text.prompt_briefing(p.stats), lambda batch: [f"{len(t)} characters" for t in batch], "answer"
+    ).drop("generated_at"),
     "global_narrative": lambda p: text.complete(
         text.prompt_global(p.rollup), out="global_narrative"
     ).drop("generated_at"),
@@ -231,7 +236,7 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     "series_list": lambda p: present.series_list(p.features),
     "tier_counters": lambda p: risk.tier_counters(p.stats),
     "surging_series": lambda p: present.surging_series(p.features),
-    "surge_alert": lambda p: present.surge_alert(p.features),
+    "surge_alert": lambda p: present.surge_alert(p.features, PAGE),
     "chart_period": lambda p: present.chart_period(p.features, 180).select(
         _key("cases_7d_avg", "deaths_7d_avg")
     ),

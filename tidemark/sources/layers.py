@@ -9,52 +9,48 @@ executor loses no layer.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_roots: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
-    """The shared directory for materialised data.
-
-    A temporary directory stands in only on a local master, as in tests.
-    """
+    """The shared directory for materialised data."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a directory all executors share")
-    app = spark.conf.get("spark.app.id")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _local_roots[app]
+    return root.rstrip("/")
 
 
 class LayerStore:
-    """Named Parquet layers below one root directory."""
+    """Named Parquet layers below one root directory.
+
+    Every write goes to a path of its own, so frames that were read from an
+    earlier version of a layer stay valid until ``close``.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root or f"{shared_root(spark)}/tidemark/{uuid.uuid4().hex}"
+        self._latest: dict[tuple[str, str], str] = {}
 
     def path(self, layer: str, name: str) -> str:
-        return f"{self.root}/{layer}/{name}"
+        """Where the layer's latest version is."""
+        return self._latest[layer, name]
 
     def write(
         self, df: DataFrame, layer: str, name: str, cluster_by: tuple[str, ...] = ()
     ) -> DataFrame:
-        """Replace the layer with ``df`` and return a reader of it.
+        """Write a new version of the layer and return a reader of it.
 
         ``cluster_by`` sorts rows within each file, without a shuffle, so that
         the row-group statistics let range filters on those columns skip data.
         """
         if cluster_by:
             df = df.sortWithinPartitions(*cluster_by)
-        df.write.mode("overwrite").parquet(self.path(layer, name))
+        path = f"{self.root}/{layer}/{name}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self._latest[layer, name] = path
         return self.read(layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:
@@ -64,3 +60,9 @@ class LayerStore:
         """Replace a catalog table with ``df``."""
         df.write.mode("overwrite").saveAsTable(table)
         return self.spark.table(table)
+
+    def close(self) -> None:
+        """Remove all layers of this store; frames that read them are of no use afterwards."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+        self._latest.clear()

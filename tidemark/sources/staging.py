@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +13,6 @@ from tidemark import schemas as S
 from tidemark.functions.scalars import strip_quotes
 
 KEY_MAP_SCHEMA = "source_name string, second_name string"
-COLLECT_LIMIT = 1_000_000
 
 
 def stage(
@@ -114,9 +112,6 @@ def describe_schema(df: DataFrame) -> DataFrame:
     )
 
 
-def collect_mart(df: DataFrame, limit: int = COLLECT_LIMIT) -> pd.DataFrame:
-    """Bring a finished mart to the client; refuses more than ``limit`` rows."""
-    pdf = df.limit(limit + 1).toPandas()
-    if len(pdf) > limit:
-        raise ValueError(f"result has more than {limit} rows; aggregate or filter it first")
-    return pdf
+def collect_mart(df: DataFrame) -> Iterator[Row]:
+    """The rows of a finished mart at the client, one partition in memory at a time."""
+    return df.toLocalIterator()

@@ -6,18 +6,14 @@ give the long table, shipped lines the second one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.windows import running_sum
 
-# --- fixed values: the market segments of the benchmark's specification, and
-# the category each order status stands for.
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+# --- fixed values: the category each order status of the benchmark's specification stands for.
 STATUS_TYPES = {"F": "Confirmed", "O": "Deaths", "P": "Recovered"}
-VACC_START = "1996-01-01"
-CORRECTION_DAY = 28
 EXCLUDED = ("NATION_24",)
 # --- end of fixed values
 
@@ -32,81 +28,94 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def case_type() -> Column:
+    """The status' category; a status without one, null too, is its own category."""
+    status = F.col("o_orderstatus")
+    out = status
+    for known, name in STATUS_TYPES.items():
+        out = F.when(status == known, name).otherwise(out)
+    return out
+
+
 def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (series, sub-region, category) on every day the series has orders.
 
-    All fifteen (sub-region, category) sums come from one aggregation; the
-    array of them is then unfolded, so absent combinations appear as 0 without
-    joining a grid. Join strategies are left to the optimizer: customers grow
-    with orders, so their size decides at run time, and a hot customer is split
-    by the adaptive skew join.
+    Sub-regions are the customers' segments and categories those of the orders'
+    statuses, as the tables have them, null included. A series' cells of a day are
+    summed, and combinations without orders are added as 0; the lists of segments
+    and categories are scalars, so no grid is joined. Join strategies are left to
+    the optimizer: customers grow with orders, so their size decides at run
+    time, and a hot customer is split by the adaptive skew join.
     """
     orders = _table(spark, sf_dir, "orders").select(
         "o_custkey",
-        "o_orderstatus",
+        case_type().alias("case_type"),
         F.col("o_orderdate").cast("date").alias(S.DATE),
         F.round("o_totalprice").cast("bigint").alias("amount"),
     )
     customer = _table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment"
+        "c_custkey", "c_nationkey", F.col("c_mktsegment").alias("province_state")
     )
-    sums, cells = [], []
-    for segment in SEGMENTS:
-        for status, case_type in STATUS_TYPES.items():
-            name = f"{segment}_{status}"
-            value = F.col("amount") if case_type == "Confirmed" else F.lit(1).cast("bigint")
-            here = (F.col("c_mktsegment") == segment) & (F.col("o_orderstatus") == status)
-            sums.append(F.sum(F.when(here, value).otherwise(F.lit(0))).alias(name))
-            cells.append(
-                F.struct(
-                    F.lit(segment).alias("province_state"),
-                    F.lit(case_type).alias("case_type"),
-                    F.col(name).alias("v"),
-                )
-            )
+    segments = customer.agg(F.collect_set(F.struct("province_state"))).scalar()
+    seen = orders.agg(F.collect_set(F.struct("case_type"))).scalar()
+    known = F.array(*(F.struct(F.lit(t).alias("case_type")) for t in STATUS_TYPES.values()))
+    confirmed = F.col("case_type") == STATUS_TYPES["F"]
+    here = F.struct("province_state", "case_type")
     daily = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(S.SERIES, S.DATE, "province_state", "case_type")
+        .agg(F.sum("amount").alias("amount"), F.count("*").alias("n"))
+        .withColumn("v", F.when(confirmed, F.col("amount")).otherwise(F.col("n")))
         .groupBy(S.SERIES, S.DATE)
-        .agg(*sums)
-        .select(S.SERIES, S.DATE, F.explode(F.array(*cells)).alias("cell"))
-        .select(S.SERIES, S.DATE, "cell.*")
+        .agg(F.collect_list(F.struct(here.alias("cell"), "v")).alias("have"))
+    )
+    cells = daily.select(S.SERIES, S.DATE, "have", F.explode(segments).alias("segment")).select(
+        S.SERIES, S.DATE, "have", "segment.province_state", F.explode(F.array_union(known, seen)).alias("kind")
+    )
+    cells = cells.select(S.SERIES, S.DATE, "province_state", "kind.case_type", "have")
+    found = F.filter(
+        "have",
+        lambda h: h["cell"]["province_state"].eqNullSafe(F.col("province_state"))
+        & h["cell"]["case_type"].eqNullSafe(F.col("case_type")),
     )
+    daily = cells.withColumn("v", F.coalesce(F.get(found, 0)["v"], F.lit(0).cast("bigint"))).drop("have")
     w = Window.partitionBy(S.SERIES, "province_state", "case_type").orderBy(S.DATE)
-    corrected = (F.col("case_type") == "Confirmed") & (F.dayofmonth(S.DATE) == CORRECTION_DAY)
     return daily.select(
         S.SERIES,
         "province_state",
         S.DATE,
         "case_type",
         running_sum(w, "v").alias("cases"),
-        F.when(corrected, -F.col("v") - 1).otherwise(F.col("v")).alias("difference"),
+        F.col("v").alias("difference"),
     )
 
 
 def raw_vacc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (series, day) with shipments, from ``VACC_START`` on."""
-    lines = (
-        _table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_shipdate") >= F.lit(VACC_START).cast("timestamp_ntz"))
-        .select(
-            "l_suppkey",
-            F.col("l_shipdate").cast("date").alias(S.DATE),
-            (F.col("l_linenumber") == 1).cast("bigint").alias("first_line"),
-        )
+    """One row per (series, day) with shipments."""
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_suppkey",
+        F.col("l_shipdate").cast("date").alias(S.DATE),
+        (F.col("l_linenumber") == 1).cast("bigint").alias("first_line"),
+        (F.col("l_linenumber") == 2).cast("bigint").alias("second_line"),
     )
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     daily = (
         lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(_nations(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy(S.SERIES, S.DATE)
-        .agg(F.count("*").alias("n"), F.sum("first_line").alias("n_first"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("first_line").alias("n_first"),
+            F.sum("second_line").alias("n_second"),
+        )
     )
     w = Window.partitionBy(S.SERIES).orderBy(S.DATE)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     daily = daily.withColumns({
         "run": running_sum(w, "n"),
         "run_first": running_sum(w, "n_first"),
+        "run_second": running_sum(w, "n_second"),
         "total": F.sum("n").over(whole),
     })
     share = lambda c: F.round(F.lit(100.0) * F.col(c) / F.col("total"), 2)
@@ -114,14 +123,12 @@ def raw_vacc(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.SERIES,
         S.DATE,
         F.col("run").alias("total_vaccinations"),
-        F.lit(None).cast("bigint").alias("people_vaccinated"),
-        F.lit(None).cast("bigint").alias("people_fully_vaccinated"),
+        F.col("run_first").alias("people_vaccinated"),
+        F.col("run_second").alias("people_fully_vaccinated"),
         F.col("n").alias("daily_vaccinations"),
         share("run").alias("people_vaccinated_per_hundred"),
-        F.when(F.dayofmonth(S.DATE) % 5 != 0, share("run_first")).alias(
-            "people_fully_vaccinated_per_hundred"
-        ),
-        F.lit(None).cast("double").alias("daily_vaccinations_per_million"),
+        share("run_first").alias("people_fully_vaccinated_per_hundred"),
+        F.round(F.lit(1e6) * F.col("n") / F.col("total"), 2).alias("daily_vaccinations_per_million"),
     )
 
 
