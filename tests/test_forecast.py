@@ -192,11 +192,18 @@ def test_wider_interval_for_higher_confidence(spark):
         model.predict(ahead(spark, 5, 1), 1.0)
 
 
-def test_unknown_method_and_missing_importance(spark):
+def test_unknown_method(spark):
     with pytest.raises(ValueError):
         models.fit(training(spark, [1.0]), "oracle")
-    with pytest.raises(ValueError):
-        models.fit(training(spark, [1.0]), "linear_trend").feature_importance()
+
+
+def test_importance_is_that_of_the_fitted_model(spark):
+    """Models without inputs name none, so that explanations do not invent any."""
+    data = training(spark, [1.0, 2.0, 4.0], [1, 2, 3])
+    trend = models.fit(data, "linear_trend").feature_importance()
+    assert [(r.rank, r.feature_name, r.score) for r in trend.collect()] == [(1, "trend", 1.0)]
+    naive = models.fit(data, "seasonal_naive").feature_importance()
+    assert naive.collect() == [] and naive.dtypes == trend.dtypes
 
 
 def test_smape_stays_in_range(pipeline):

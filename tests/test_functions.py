@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import filters
 from tidemark.functions.aggregates import exact_median, text_pages
+from tidemark.functions.filters import latest_per_key
 from tidemark.functions.scalars import floor_zero, key_noise, pct, ratio
 
 
@@ -90,3 +91,15 @@ def test_optional_filters(spark):
     assert filters.without_series(df, []).count() == 2
     assert filters.without_series(df, ["A"]).count() == 0
     assert filters.select_available(df, ["v", "nope", "date"]).columns == ["v", "date"]
+
+
+def test_latest_row_and_median_do_not_sort_everything(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS t", "double(id) AS v")
+    latest = latest_per_key(df, ["k"], "t")
+    assert sorted(tuple(r) for r in latest.collect()) == sorted((t % 7, t, float(t)) for t in range(993, 1000))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort [" not in plan
+    for n in (1, 2, 999, 1000):
+        values = df.limit(n)
+        want = values.agg(F.median("v")).first()[0]
+        assert exact_median(values, "v", accuracy=20, buckets=5).first().median == want

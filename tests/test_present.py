@@ -86,7 +86,7 @@ def test_surge_looks_at_the_latest_day_only(spark):
     f = daily(spark, [1, 0], "surge_flag").union(daily(spark, [0, 1], "surge_flag", "B")).union(
         daily(spark, [0, 1], "surge_flag", "C")
     ).withColumn("wow_growth_pct", F.lit(60.0))
-    assert [r.listing for r in present.surge_alert(f).collect()] == ["B, C"]
+    assert [r.listing for r in present.surge_alert(f, 10).collect()] == ["B, C"]
     assert present.surge_alert(f.withColumn("surge_flag", F.lit(0))).count() == 0
 
 
@@ -122,7 +122,7 @@ def test_profile_headline(spark):
 def test_series_detail_is_sorted(pipeline):
     days = [r.date for r in present.series_history(pipeline.features, "NATION_3").collect()]
     assert days == sorted(days) and len(days) > 2000
-    ranks = present.series_importance(pipeline.importance, "NATION_3").collect()
+    ranks = present.series_importance(pipeline.correlations, "NATION_3").collect()
     assert [r["rank"] for r in ranks] == [1, 2, 3, 4, 5, 6]
     assert present.series_forecast(pipeline.output, "NATION_3").count() == 30
     assert present.series_explanation(pipeline.explanations, "NATION_3").count() == 1

@@ -46,14 +46,16 @@ def text_pages(
     return paged.select("page", F.array_join(F.col("_list._item"), separator).alias("listing"))
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
+def exact_median(
+    df: DataFrame, column: str, accuracy: int = 10_000, buckets: int = 1024
+) -> DataFrame:
     """One-row frame with the interpolated median of ``column`` as ``median``.
 
     Built-in ``median`` gathers every distinct value in one task. Here an
     approximate percentile brackets the middle first (its rank error is at most
-    rows/accuracy, and the bracket is four times that wide on either side); only
-    the distinct values inside the bracket, well under 0.1 % of the rows, reach
-    one task, with their counts. The answer is exact.
+    rows/accuracy, and the bracket is four times that wide on either side). The
+    bracket is cut into equal buckets, whose counts alone, a row per bucket, meet
+    in one task; the order is made inside each bucket. The answer is exact.
     """
     data = df.select(F.col(column).alias("v")).filter("v is not null")
     margin = 4.0 / accuracy
@@ -67,14 +69,24 @@ def exact_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFram
     )
     n = outside.select("n").scalar()
     below = outside.select("below").scalar()
-    upto = F.sum("c").over(
-        Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    middle = (
+    # Ranks inside the bracket: rows of all buckets before, and the order in a bucket.
+    part = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * buckets
+    inside = (
         data.filter((F.col("v") >= low) & (F.col("v") <= high))
         .groupBy("v")
         .agg(F.count("*").alias("c"))
-        .withColumn("last", upto + below)
+        .withColumns({"low": low, "high": high})
+        .withColumn("bucket", F.when(F.col("high") > F.col("low"), F.floor(part)).otherwise(0))
+    )
+    starts = inside.groupBy(F.col("bucket").alias("of")).agg(F.sum("c").alias("c_all"))
+    earlier = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("of", F.coalesce(F.sum("c_all").over(earlier), F.lit(0)).alias("start"))
+    upto = F.sum("c").over(
+        Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    middle = (
+        inside.join(starts, F.col("bucket") == F.col("of"))
+        .withColumn("last", upto + F.col("start") + below)
         .withColumn("first", F.col("last") - F.col("c") + 1)
     )
     holds_lower = (F.col("first") <= F.floor((n + 1) / 2)) & (F.col("last") >= F.floor((n + 1) / 2))

@@ -115,13 +115,10 @@ def select_available(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The row with the greatest ``order`` of each key, by aggregation.
 
-    ``max_by`` over a struct combines on the map side, so a key with very many
-    rows sends one row per task through the shuffle and nothing is sorted.
+    One ``max_by`` per column, so buffers are of fixed width and both steps hash:
+    nothing is sorted, and a key with very many rows sends one row per task
+    through the shuffle. ``order`` is unique within a key.
     """
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), order).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
-    )
+    rest = [c for c in df.columns if c not in keys and c != order]
+    latest = [F.max_by(c, order).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(F.max(order).alias(order), *latest).select(*df.columns)

@@ -100,9 +100,19 @@ def predict(model: ForecastModel, exog: DataFrame, interval: float = 0.95) -> Da
 
 
 def feature_importance(model: ForecastModel) -> DataFrame:
-    """Share of the absolute standardised coefficients, ranked per series."""
+    """What the fitted model rests on, ranked per series.
+
+    Ridge: share of the absolute standardised coefficients. The linear trend
+    rests on time alone, the seasonal naive model on no input: no rows.
+    """
     if model.method != "ridge":
-        raise ValueError(f"{model.method} has no inputs to rank; use importance_corr")
+        trend = model.params.select(
+            F.col(model.series).alias("series"),
+            F.lit(1).alias("rank"),
+            F.lit("trend").alias("feature_name"),
+            F.lit(1.0).alias("score"),
+        )
+        return trend if model.method == "linear_trend" else trend.where(F.lit(False))
     size = F.transform("beta", F.abs)
     total = F.aggregate("size", F.lit(0.0), lambda sum_, x: sum_ + x)
     scores = F.transform(

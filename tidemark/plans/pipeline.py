@@ -133,14 +133,18 @@ class Pipeline:
 
     @cached_property
     def importance(self) -> DataFrame:
-        if self.method == "ridge":
-            df = self.final_model.feature_importance()
-        else:
-            df = models.importance_corr(self.training)
+        """Of the fitted model; the explanations name these inputs."""
+        df = self.final_model.feature_importance()
         return self.store.write(
             S.assert_schema(df, S.IMPORTANCE_SCHEMA), MARTS, f"feature_importance_{self.method}"
         )
 
+    @cached_property
+    def correlations(self) -> DataFrame:
+        """Of the exogenous columns with the target, whatever the model."""
+        df = models.importance_corr(self.training)
+        return self.store.write(S.assert_schema(df, S.IMPORTANCE_SCHEMA), MARTS, "importance_corr")
+
     @cached_property
     def stats(self) -> DataFrame:
         # One row per series, read several times by the roll-up and the matrix.
@@ -194,6 +198,7 @@ class Pipeline:
             "forecast_raw": lambda: self.forecast,
             "forecast_output": lambda: self.output,
             "feature_importance": lambda: self.importance,
+            "importance_corr": lambda: self.correlations,
             "country_stats": lambda: self.stats,
             "outbreak_narratives": lambda: self.narratives,
             "global_summary": lambda: self.global_summary,

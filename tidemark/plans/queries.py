@@ -253,7 +253,7 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     "compare_pivot": lambda p: present.compare_pivot(p.features, COMPARED),
     "situation_matrix": lambda p: present.situation_matrix(p.stats),
     "median_daily_cases": lambda p: exact_median(p.features, "new_cases"),
-    "top7_importance": lambda p: present.top_importance(models.importance_corr(p.training), 7),
+    "top7_importance": lambda p: present.top_importance(p.correlations, 7),
     "profile_headline": lambda p: present.profile_headline(p.profile),
     "profile_table": lambda p: present.profile_table(p.profile),
     "tier_filtered_text": lambda p: present.tier_filtered(
@@ -264,7 +264,7 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
         present.series_history(p.features, SERIES), 2, "wow_change_7d_avg"
     ),
     "series_forecast": lambda p: present.series_forecast(p.output, SERIES),
-    "series_importance": lambda p: present.series_importance(p.importance, SERIES),
+    "series_importance": lambda p: present.series_importance(p.correlations, SERIES),
     "series_explanation": lambda p: present.series_explanation(
         p.explanations.drop("generated_at"), SERIES
     ),

@@ -25,8 +25,9 @@ def shared_root(spark: SparkSession) -> str:
 class LayerStore:
     """Named Parquet layers below one root directory.
 
-    Every write goes to a path of its own, so frames that were read from an
-    earlier version of a layer stay valid until ``close``.
+    What another store left at a layer's path is replaced; a store's own later
+    versions of the layer go to paths of their own, so frames that were read
+    from an earlier version stay valid until ``close``.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -48,8 +49,10 @@ class LayerStore:
         """
         if cluster_by:
             df = df.sortWithinPartitions(*cluster_by)
-        path = f"{self.root}/{layer}/{name}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        path = f"{self.root}/{layer}/{name}"
+        if (layer, name) in self._latest:
+            path += f"-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
         self._latest[layer, name] = path
         return self.read(layer, name)
 
