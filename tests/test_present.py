@@ -87,7 +87,7 @@ def test_surge_looks_at_the_latest_day_only(spark):
         daily(spark, [0, 1], "surge_flag", "C")
     ).withColumn("wow_growth_pct", F.lit(60.0))
     assert [r.listing for r in present.surge_alert(f, 10).collect()] == ["B, C"]
-    assert present.surge_alert(f.withColumn("surge_flag", F.lit(0))).count() == 0
+    assert present.surge_alert(f.withColumn("surge_flag", F.lit(0)), 10).count() == 0
 
 
 def test_compare_pivot_has_one_column_per_series(spark):

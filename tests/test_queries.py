@@ -31,6 +31,11 @@ def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, name, SF, QUERIES[name], SQL[name]) is None
 
 
+@pytest.mark.parametrize("name", ["top_subregions", "granularity_audit", "key_map_coverage", "global_rollup"])
+def test_what_is_compared_is_not_empty(spark, name):
+    assert not QUERIES[name](spark, SF).isEmpty()
+
+
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_query_without_sql_gives_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
