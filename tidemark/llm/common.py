@@ -82,6 +82,17 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def least_hashed(rows: DataFrame, n: int, *columns: str, seed: int) -> DataFrame:
+    """``n`` rows with the least hash of ``columns``; all of them if there are no more.
+
+    Hashes alone go through the ordering, so that only the chosen rows move.
+    """
+    (mark,) = own(rows, "mark")
+    hashed = rows.withColumn(mark, F.xxhash64(*(col(c) for c in columns), F.lit(seed)))
+    last = hashed.select(mark).orderBy(mark).limit(n).agg(F.max(mark)).first()[0]
+    return hashed.where(F.col(mark) <= F.lit(last)).drop(mark).limit(n)
+
+
 def mapped(rows: DataFrame, run, schema: T.StructType) -> DataFrame:
     """``mapInArrow`` for columns of any name, dots included: by position."""
     plain = [f"c{i}" for i in range(len(rows.columns))]

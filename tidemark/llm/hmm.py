@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, col, settled, stored
+from tidemark.llm.common import by_value, col, least_hashed, stored
 
 by_value(__name__)
 
@@ -267,13 +267,13 @@ def train(sequences: DataFrame, shares: np.ndarray, states: int, passes: int, sa
         )
 
     def start(batches):
-        held = [unpack(b) for batch in batches for b in batch.column(0).to_pylist()]
+        held = [unpack(b) for b in sorted(b for batch in batches for b in batch.column(0).to_pylist())]
         if held:
             yield rows_of(np.arange(classes), mixture(held, classes, states, 12, seed))
 
-    drawn = sequences.orderBy(F.xxhash64("doc_id", F.lit(seed)), "classes").limit(sample).select("classes")
+    drawn = least_hashed(sequences.select("doc_id", "classes"), sample, "doc_id", "classes", seed=seed)
     table = np.zeros((classes, states))
-    for row in drawn.repartition(1).mapInArrow(start, shape).toLocalIterator():
+    for row in drawn.select("classes").repartition(1).mapInArrow(start, shape).toLocalIterator():
         table[row[0]] = row[1:]
     stay = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(stay, 0.9)

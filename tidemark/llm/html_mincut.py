@@ -23,10 +23,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import by_value, col, mapped, own
+from tidemark.llm.common import by_value, col, least_hashed, mapped, own
 
 by_value(__name__)
 
@@ -377,13 +376,13 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 def train(pages: DataFrame, html_col: str = "html", *, sample: int = 500, seed: int = 5) -> np.ndarray:
     """The regression from at most ``sample`` pages, drawn by hash of the html, in one task."""
     rows = pages.select(col(html_col).cast("string").alias("html")).where("html IS NOT NULL")
-    drawn = rows.select("html", F.xxhash64("html", F.lit(seed)).alias("h")).orderBy("h").limit(sample)
+    drawn = least_hashed(rows, sample, "html", seed=seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = fit([p for b in batches for p in b.column(0).to_pylist()])
+        weights = fit(sorted(p for b in batches for p in b.column(0).to_pylist()))
         yield pa.RecordBatch.from_arrays([pa.array(range(len(weights)), pa.int32()), pa.array(weights)], ["at", "w"])
 
-    out = drawn.select("html").repartition(1).mapInArrow(run, "at int, w double").collect()
+    out = drawn.repartition(1).mapInArrow(run, "at int, w double").collect()
     return np.array([r[1] for r in sorted(out)]) if out else fit([])
 
 
