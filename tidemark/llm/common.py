@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -34,17 +33,12 @@ def ascii_lower(text: Column) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    A session on a local master may lack one and then gets a temporary folder;
-    anywhere else its absence is an error.
+    Where the session names none, a folder in the warehouse, which they share too.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="tidemark-")
-        sc.setCheckpointDir(named)
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return sc.getCheckpointDir()
 
 

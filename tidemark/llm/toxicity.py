@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,40 +54,54 @@ def fit(
         # Nothing to tell apart: every text gets the grade of the labels there are.
         only = float(labels[0]) if len(labels) else 0.0
         return Model({}, np.linspace(8.0, 10.0, GRADES - 1) * (1 if only == 0 else -1))
-    words = [set(WORDS.findall(t.lower())) for t in texts]
+    # Words and features as numbers: a text's own strings are not kept.
+    index: dict[str, int] = {}
+    number: dict[str, int] = {}
+    features_of: list[tuple[int, ...]] = []
+    words, marks = [], []
+    for text, y in zip(texts, labels.tolist()):
+        own = []
+        ws = set(WORDS.findall(text.lower()))
+        for w in ws:
+            if w not in number:
+                number[w] = len(number)
+                features_of.append(tuple(index.setdefault(f, len(index)) for f in parts(w)))
+            own.append(number[w])
+        words.append(np.array(own, np.int32))
+        marks.append((y, *(min((zlib.crc32(w.encode(), start) for w in ws), default=0) for start in (0, 1))))
     # Near copies would make any of their words look like a mark: of rows with the same two least
     # word hashes one is used.
-    marks = [
-        (y, *(min((zlib.crc32(w.encode(), start) for w in ws), default=0) for start in (0, 1)))
-        for ws, y in zip(words, labels.tolist())
-    ]
     alone = sorted({m: i for i, m in reversed(list(enumerate(marks)))}.values())
     words, labels = [words[i] for i in alone], labels[alone]
-    found = [sorted({f for w in ws for f in parts(w)}) for ws in words]
-    seen = [Counter(f for x, y in zip(found, labels) if y == v for f in x) for v in (0, 1)]
-    total = [int((labels == v).sum()) for v in (0, 1)]
-    ratio = {}
-    for f in seen[0].keys() | seen[1].keys():
-        n = [seen[0][f], seen[1][f]]
-        if sum(n) < 5:
-            continue
-        p = [(n[v] + 0.5) / (total[v] + 1.0) for v in (0, 1)]
-        both = (sum(n) + 1.0) / (sum(total) + 2.0)
-        gain = sum(
-            n[v] * np.log(p[v] / both) + (total[v] - n[v]) * np.log((1 - p[v]) / (1 - both)) for v in (0, 1)
-        )
-        if gain >= 8 and max(p) > 2 * min(p):  # else chance, or length alone
-            ratio[f] = (gain, p[1] > p[0])
-    names = sorted(ratio, key=lambda f: (-ratio[f][0], f))[:features]
-    place = {f: i for i, f in enumerate(names)}
-    marked = {f for f in names if ratio[f][1]}
-
-    uses = np.array([sum(any(f in marked for f in parts(w)) for w in ws) for ws in words])
+    found = [
+        np.fromiter(sorted({f for w in ws.tolist() for f in features_of[w]}), np.int32) for ws in words
+    ]
+    seen, total = [], []
+    for v in (0, 1):
+        own = [x for x, y in zip(found, labels) if y == v]
+        seen.append(np.bincount(np.concatenate(own), minlength=len(index)))
+        total.append(len(own))
+    p = [(seen[v] + 0.5) / (total[v] + 1.0) for v in (0, 1)]
+    both = (seen[0] + seen[1] + 1.0) / (sum(total) + 2.0)
+    gain = sum(
+        seen[v] * np.log(p[v] / both) + (total[v] - seen[v]) * np.log((1 - p[v]) / (1 - both)) for v in (0, 1)
+    )
+    # Others are chance, or length alone.
+    telling = (seen[0] + seen[1] >= 5) & (gain >= 8) & (np.maximum(*p) > 2 * np.minimum(*p))
+    every = list(index)
+    chosen = sorted(np.flatnonzero(telling).tolist(), key=lambda f: (-gain[f], every[f]))[:features]
+    names = [every[f] for f in chosen]
+    place = np.full(len(every), -1)
+    place[chosen] = np.arange(len(chosen))
+    marked = telling & (p[1] > p[0]) & (place >= 0)
+
+    uses = np.array([sum(any(marked[f] for f in features_of[w]) for w in ws.tolist()) for ws in words])
     cuts = np.quantile(uses[labels == 1], [1 / 3, 2 / 3], method="higher")
     grade = np.where(labels == 1, 1 + np.searchsorted(cuts, uses, side="left"), 0)
 
-    row = np.concatenate([np.full(sum(f in place for f in x), i) for i, x in enumerate(found)]).astype(int)
-    at = np.array([place[f] for x in found for f in x if f in place], int)
+    kept = [place[x][place[x] >= 0] for x in found]
+    row = np.repeat(np.arange(len(kept)), [len(x) for x in kept])
+    at = np.concatenate(kept)
     n = len(words)
     weight = np.where(labels == 1, 0.5 / total[1], 0.5 / total[0])
     # Thresholds are the first and the steps' logarithms, so that they stay in order.
