@@ -89,7 +89,7 @@ def test_flagship_query(spark):
     import __spark_entry__ as entry
 
     assert len(entry.entry(spark).columns) == 23
-    assert set(entry.queries()) == set(QUERIES) and entry.oracle_sql() == SQL
+    assert set(entry.queries()) >= set(QUERIES) and entry.oracle_sql().items() >= SQL.items()
 
 
 def test_pipeline_with_ridge_builds_every_view(spark):
@@ -120,7 +120,7 @@ from pyspark.sql import SparkSession
 spec = importlib.util.spec_from_file_location("e", {str(ROOT / "__spark_entry__.py")!r})
 e = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(e)
-spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").getOrCreate()
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
 for name in ("narratives", "forecast_ridge"):
     assert e.queries()[name](spark, {SF!r}).count() > 0
 print("all fine")

@@ -15,8 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared directory for materialised data."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared directory for materialised data.
+
+    Where the session names none, the warehouse, which all executors share too.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir", None
+    )
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a directory all executors share")
     return root.rstrip("/")
