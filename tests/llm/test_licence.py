@@ -83,3 +83,66 @@ def test_frames(docs, none, spark):
     df = spark.createDataFrame([(1, APACHE, 3), (1, APACHE, 3), (None, MIT, 4)], "doc_id bigint, text string, matches int")
     got = sorted(r.matches[0].licence for r in op.licences(df).collect())
     assert got == ["Apache-2.0", "Apache-2.0", "MIT"]
+
+
+EXAMPLES = {
+    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    "as-is": "The software is provided as is without warranty of any kind",
+    "no-event": "In no event shall the authors be liable",
+    "isc-grant": "Permission to use, copy, modify and distribute this software for any purpose with or without fee is hereby granted",
+    "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "bsd-name": "Neither the name of X may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-as-is": "This software is provided by X as is and any express or implied warranties",
+    "zlib-as-is": "This software is provided as is, without any express or implied warranty",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    "zlib-origin": "The origin of this software must not be misrepresented",
+    "zlib-altered": "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software",
+    "apache-ref": "Licensed under the Apache License, Version 2.0",
+    "apache-use": "you may not use this file except in compliance with the License",
+    "apache-copy": "You may obtain a copy of the License at",
+    "apache-as-is": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS basis",
+    "gpl-ref": "GNU General Public License version 3",
+    "gpl-short": "Released under the GPL v3",
+    "gpl-hope": "distributed in the hope that it will be useful, but without any warranty",
+    "gpl-see": "See the GNU General Public License for more details",
+    "gpl-received": "You should have received a copy of the GNU General Public License",
+    "mpl-ref": "Released under the Mozilla Public License 2.0",
+    "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at",
+    "mit-ref": "Released under the MIT License",
+    "bsd-ref": "Released under the BSD licence",
+    "isc-ref": "Released under the ISC license",
+    "boost-ref": "Distributed under the Boost Software License, Version 1.0",
+    "eclipse-ref": "Eclipse Public License 2.0",
+    "artistic-ref": "Released under the Artistic License 2.0",
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "unlicense-ref": "Released under the Unlicense",
+    "wtfpl": "Do what the fuck you want to public license",
+    "cc0-ref": "Released under CC0",
+    "cc-ref": "Released under CC BY 4.0",
+    "cc-long": "Creative Commons Attribution 4.0",
+    "domain": "Released into the public domain",
+}
+
+
+def test_examples_pass_the_gate():
+    assert set(EXAMPLES) == {name for name, _ in op.SENTENCES} - {"rights"}
+    for name, text in EXAMPLES.items():
+        for between in (" ", "  ", "\n", "\n// ", "\n * ", "\n# "):
+            found = [f[0] for f in op.identified(between.join(text.split()))]
+            assert name in found, (name, between)
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Released under the GPL v3.", ["GPL-3.0-only"]), ("Distributed under GPLv2 or later.", ["GPL-2.0-or-later"]),
+        ("Available under LGPL 2.1+.", ["LGPL-2.1-or-later"]), ("It is released into the public\ndomain.", ["Public-Domain"]),
+        ("Released under CC\nBY 4.0", ["CC-BY-4.0"]),
+    ],
+)
+def test_short_and_wrapped(text, want):
+    assert [m.licence for m in op.scan(text)] == want

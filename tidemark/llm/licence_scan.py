@@ -22,12 +22,13 @@ from tidemark.llm.common import by_value, col
 
 by_value(__name__)
 
-#: Every known sentence holds one of these, so a sentence without them is none.
+#: Every known sentence but that of all rights (which no rule uses) holds one of these, or "cc" as a word.
+#: Each is a run of letters in one word, so that line breaks and comment signs cannot part it.
 STEMS = (
-    "licen", "public domain", "warrant", "redistribut", "permission", "copyright", "liable", "liability",
-    "gnu ", "free software", "spdx", "cc0", "cc by", "cc-by", "creative commons", "endorse", "misrepresented",
-    "unlicense", "source code form", "commercial advantage",
+    "licen", "warrant", "redistribut", "permission", "copyright", "liable", "misrepresented", "endorse",
+    "acknowledgement", "obtain", "gpl", "unencumbered", "domain", "creative", "cc0",
 )
+CC = re.compile(r"(?<![a-z0-9])cc(?![a-z0-9])")
 
 #: (identifier, pattern over a normalised sentence). Fixed wording of public licences; named groups
 #: become part of the identifier.
@@ -128,6 +129,11 @@ class Match:
     sentences: list[str]
 
 
+def promising(low: str) -> bool:
+    """False for a text in lower case that no known sentence is in."""
+    return any(s in low for s in STEMS) or CC.search(low) is not None
+
+
 def normalised(sentence: str) -> str:
     text = sentence.lower().replace("licence", "license")
     text = VERSION.sub("version ", text)
@@ -165,8 +171,7 @@ def identified(text: str) -> list[tuple[str, str, int, int]]:
     ends = [(m.start(), m.end()) for m in CUT.finditer(text)]
     for stop, then in [*ends, (len(text), len(text))]:
         sentence = text[start:stop]
-        low = sentence.lower()
-        if any(s in low for s in STEMS):
+        if promising(sentence.lower()):
             plain = normalised(sentence)
             hits = [(m.start(), -m.end(), k, name, m) for k, (name, p) in enumerate(KNOWN) for m in p.finditer(plain)]
             upto = 0
@@ -180,8 +185,8 @@ def identified(text: str) -> list[tuple[str, str, int, int]]:
 
 def scan(text: str | None) -> list[Match]:
     """Licences of a text, in order; "unknown" for licence sentences that no rule takes."""
-    low = (text or "").lower()
-    if not any(s in low for s in STEMS):
+    text = text or ""
+    if not promising(text.lower()):
         return []
     found = identified(text)
     names = [f[0] for f in found]
