@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, against plain Python on the same rows."""
 
+import hashlib
 import string
 from collections import Counter, defaultdict
 
@@ -86,3 +87,11 @@ def test_odd_rows(spark, docs, none, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, rows, str(tmp_path))
         assert rows.count() >= least
+
+
+def test_decoding(stages):
+    theirs = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_fst.MODEL)
+    for r in stages[4]:
+        back = theirs.decode(list(r.ids))
+        assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+        assert r.round_trip == (back == (r.text or "").replace("\u2581", " "))
