@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -87,6 +88,15 @@ def least_hashed(rows: DataFrame, n: int, *columns: str, seed: int) -> DataFrame
     return hashed.where(F.col(mark) <= F.lit(last)).drop(mark).limit(n)
 
 
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what earlier ones took goes back to the machine, since an idle worker keeps what it holds."""
+    pool = pa.default_memory_pool()
+    for batch in batches:
+        yield batch
+        del batch
+        pool.release_unused()
+
+
 def mapped(rows: DataFrame, run, schema: T.StructType) -> DataFrame:
     """``mapInArrow`` for columns of any name, dots included: by position."""
     plain = [f"c{i}" for i in range(len(rows.columns))]
@@ -94,7 +104,7 @@ def mapped(rows: DataFrame, run, schema: T.StructType) -> DataFrame:
     fields = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema)])
 
     def renamed(batches):
-        for batch in run(batches):
+        for batch in run(freed(batches)):
             yield pa.RecordBatch.from_arrays(batch.columns, names)
 
     return rows.toDF(*plain).mapInArrow(renamed, fields).toDF(*schema.names)

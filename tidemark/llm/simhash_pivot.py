@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, col, own, settled, whole
+from tidemark.llm.common import by_value, col, freed, own, settled, whole
 from tidemark.llm.components import components
 
 by_value(__name__)
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int = 3) ->
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freed(batches):
             texts = batch.column(2)
             prints = np.array([fingerprint(t.as_py(), words) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
