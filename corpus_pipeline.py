@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, sentencepiece_fst, shingle_sets, toxicity
+from tidemark.llm import exact_dedup, mixing, sentencepiece_fst, simhash_pivot, toxicity
 from tidemark.llm.common import stored, table
 
 
@@ -24,8 +24,8 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the row with the smallest doc_id stays."""
-    return shingle_sets.survivors(docs)
+    """Of each group whose fingerprints (three-word shingles) link at 3 bits, the row with the smallest doc_id stays."""
+    return simhash_pivot.survivors(docs, words=3, bits=3)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
