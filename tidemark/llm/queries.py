@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, hmm, html_mincut, licence_scan, mixing, quality_crf, sentencepiece_fst, simhash_pivot, toxicity, winnow
+from tidemark.llm import (
+    collocations,
+    exact_dedup,
+    hmm,
+    html_mincut,
+    licence_scan,
+    mixing,
+    quality_crf,
+    sentencepiece_fst,
+    simhash_pivot,
+    toxicity,
+    vector_codes,
+    warc_zstd,
+    winnow,
+)
 from tidemark.llm.common import table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +100,26 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.best(collocations.phrases(table(spark, sf_dir, "documents")))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    rows = warc_zstd.resolved(warc_zstd.write(pages).read())
+    return rows.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    named = (op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op6_html_mincut, op7_licence_scan, op8_toxicity, op9_quality_crf, op10_source_mix)
+    named = (
+        op1_exact_dedup, op2_winnow, op3_sentencepiece, op4_hmm_score, op5_simhash_pivot, op6_html_mincut,
+        op7_licence_scan, op8_toxicity, op9_quality_crf, op10_source_mix, op11_collocations, op12_warc_zstd,
+        op13_vector_codes,
+    )
     return {q.__name__: q for q in named}
