@@ -368,7 +368,7 @@ def write(
         F.unhex(F.sha1("payload")).alias("sha1"),
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
     )
-    rows = stored(rows, "warc-pages")  # numbers that stay the same, and digests reckoned once
+    rows = stored(rows, "warc-pages", "zstd")  # numbers that stay the same, and digests reckoned once
     revisits = copies(rows, least_bytes)
     # Rows move by their own number, so no payload is a hot key.
     chosen = rows.join(revisits, "row", "left").select(
@@ -446,9 +446,9 @@ def read(paths: DataFrame, path_col: str = "path") -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, shape)
 
-    names = paths.select(col(path_col).cast("string").alias("path"))
-    # A file per task at best: names are dealt out by their hash.
-    return names.repartition("path").mapInArrow(run, RECORD)
+    names = settled(paths.select(col(path_col).cast("string").alias("path")))
+    # A task per file, up to a number that a cluster can run; small files too are worth a task.
+    return names.repartition(max(1, min(names.count(), 10_000))).mapInArrow(run, RECORD)
 
 
 def _opened(path: str) -> Iterator[dict]:
