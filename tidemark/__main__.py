@@ -2,7 +2,9 @@
 
 python -m tidemark --long PATH --vacc PATH --out DIR [--method ridge]
 
-Tables are Parquet paths or catalog names. Layers are written below --out.
+Tables are Parquet paths or catalog names. Layers are written below --out as
+versioned tables, which a job may replace while others read them; sources/versions.py
+and sources/staging.py (load) read them.
 """
 
 from __future__ import annotations

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.layers import settled
+
+
 def conditional_sum(value: str, condition: Column) -> Column:
     return F.sum(F.when(condition, F.col(value)).otherwise(F.lit(0)))
 
@@ -20,19 +23,19 @@ def text_pages(
     order: Column,
     separator: str,
     page_size: int,
-    bucket: Column,
 ) -> DataFrame:
     """All ``item`` texts in ``order``, ``page_size`` on each page, pages numbered from 0.
 
-    The pages joined in order are the whole listing at any size. ``bucket`` is a
-    value that never falls as ``order`` rises: positions are row numbers inside
-    a bucket plus the rows of all buckets before it, so that only the counts, a
-    row per bucket, meet in one task. Ties are in order of ``key``, which must
-    be unique. An empty ``df`` has no page.
+    The pages joined in order are the whole listing at any size. Rows are cut
+    into ranges of (order, key), and a position is the row's number inside its
+    range plus the rows of all ranges before it; so neither equal orders nor
+    names that begin alike gather in one task, and only the counts, a row per
+    range, do. Ties are in order of ``key``, which must be unique. An empty
+    ``df`` has no page.
     """
-    rows = df.select(
-        bucket.alias("_bucket"), order.alias("_order"), F.col(key).alias("_key"), item.alias("_item")
-    )
+    rows = df.select(order.alias("_order"), F.col(key).alias("_key"), item.alias("_item"))
+    # Written once: the ranges come from a sample, and both uses below must see the same.
+    rows = settled(rows.repartitionByRange("_order", "_key").withColumn("_bucket", F.spark_partition_id()))
     before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy(F.col("_bucket").alias("_of")).agg(F.count("*").alias("_n"))
     starts = counts.select("_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

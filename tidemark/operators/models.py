@@ -1,7 +1,8 @@
 """Per-series forecast models.
 
 ``fit`` reduces the training rows to one parameter row per series with
-built-in aggregates, which combine on the map side. ``predict`` joins the
+built-in aggregates, which combine on the map side (exponential smoothing,
+which needs the days in order, with one array per series). ``predict`` joins the
 parameters to the days asked for. One call handles all series; every column
 besides series, time and target is an exogenous input.
 """
@@ -14,14 +15,20 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.functions.filters import cutoff
 from tidemark.functions.windows import lagged, per_series
+from tidemark.operators import boosting, smoothing
+from tidemark.sources.layers import LayerStore
 
-METHODS = ("ridge", "linear_trend", "seasonal_naive")
+METHODS = ("ridge", "linear_trend", "seasonal_naive", "ets", "boosted")
 TREND = "trend"
+LAGS = (0, 7, 14, 30)  # days beyond the horizon at which the boosted trees see the target
+LEVEL_DAYS = 28  # and the mean of as many days up to the horizon
+RECENT = 120  # values of a series that its boosted parameters hold
 TREND_ORIGIN = 18_262  # 2020-01-01 as days since 1970; any nearby day serves
 WEEKDAYS = [f"weekday_{d}" for d in range(2, 8)]  # day 1 is the base
 
@@ -36,6 +43,9 @@ class ForecastModel:
     timestamp: str
     inputs: tuple[str, ...] = ()
     period: int = 7
+    horizon: int = 30  # days ahead by which smoothing weights, lags and intervals are set
+    forest: boosting.Forest | None = None
+    residuals: DataFrame | None = None  # of the boosted trees: (step, size of the error by the series' level)
 
     def predict(self, exog: DataFrame, interval: float = 0.95) -> DataFrame:
         return predict(self, exog, interval)
@@ -54,6 +64,7 @@ def fit(
     period: int = 7,
     penalty: float = 1.0,
     weekdays: bool = False,
+    horizon: int = 30,
 ) -> ForecastModel:
     """Fit one model per series in one pass over ``train``.
 
@@ -67,6 +78,11 @@ def fit(
         return ForecastModel(method, params, series, timestamp, (), period)
     if method == "linear_trend":
         return ForecastModel(method, _fit_linear(train, series, timestamp, target), series, timestamp)
+    if method == "ets":
+        params = smoothing.fit(train, series, timestamp, target, period, horizon)
+        return ForecastModel(method, params, series, timestamp, (), period, horizon)
+    if method == "boosted":
+        return _fit_boosted(train, series, timestamp, target, exogenous, horizon)
     if method == "ridge":
         inputs = (TREND, *(WEEKDAYS if weekdays else ()), *exogenous)
         params = _fit_ridge(train, series, timestamp, target, inputs, penalty)
@@ -81,8 +97,17 @@ def predict(model: ForecastModel, exog: DataFrame, interval: float = 0.95) -> Da
     """
     if not 0 < interval < 1:
         raise ValueError("interval lies between 0 and 1")
-    rows = exog.join(model.params, model.series)
+    params = model.params
+    if model.method == "ets":
+        params = smoothing.with_spreads(params, model.period, model.horizon, interval).drop("history")
+    rows = exog.join(params, model.series)
     day = F.col(model.timestamp)
+    if model.method == "ets":
+        forecast, under, over = smoothing.forecast(day, model.period, model.horizon)
+        return _predicted(rows, model, forecast, forecast + under, forecast + over)
+    if model.method == "boosted":
+        forecast, half = _boosted(model, interval)
+        return _predicted(rows, model, forecast, forecast - half, forecast + half)
     if model.method == "seasonal_naive":
         forecast, spread = _seasonal(day, model.period)
     elif model.method == "linear_trend":
@@ -90,12 +115,16 @@ def predict(model: ForecastModel, exog: DataFrame, interval: float = 0.95) -> Da
     else:
         forecast, spread = _ridge(model)
     half = F.lit(NormalDist().inv_cdf(0.5 + interval / 2)) * spread
+    return _predicted(rows, model, forecast, forecast - half, forecast + half)
+
+
+def _predicted(rows: DataFrame, model: ForecastModel, forecast: Column, low: Column, high: Column) -> DataFrame:
     return rows.select(
         F.col(model.series).alias("series"),
-        day.alias("ts"),
+        F.col(model.timestamp).alias("ts"),
         forecast.alias("forecast"),
-        (forecast - half).alias("lower_bound"),
-        (forecast + half).alias("upper_bound"),
+        low.alias("lower_bound"),
+        high.alias("upper_bound"),
     )
 
 
@@ -103,8 +132,14 @@ def feature_importance(model: ForecastModel) -> DataFrame:
     """What the fitted model rests on, ranked per series.
 
     Ridge: share of the absolute standardised coefficients. The linear trend
-    rests on time alone, the seasonal naive model on no input: no rows.
+    rests on time alone, the seasonal naive model and exponential smoothing on
+    no input: no rows. Boosted trees: each input's share of what the cuts
+    explained, the same for every series.
     """
+    if model.forest is not None:
+        total = sum(model.forest.gains.values()) or 1.0
+        shares = F.array(*(F.lit(model.forest.gains[n] / total) for n in model.inputs))
+        return _ranked(model.params, model.series, F.array(*(F.lit(n) for n in model.inputs)), shares)
     if model.method != "ridge":
         trend = model.params.select(
             F.col(model.series).alias("series"),
@@ -122,6 +157,58 @@ def feature_importance(model: ForecastModel) -> DataFrame:
     return _ranked(scored, model.series, F.array(*[F.lit(n) for n in model.inputs]), scores)
 
 
+def importance_permutation(
+    model: ForecastModel,
+    holdout: DataFrame,
+    *,
+    target: str = S.TARGET,
+    seed: int = 42,
+    digits: int = 6,
+) -> DataFrame:
+    """How much worse the model forecasts ``holdout`` when an input is mixed up, ranked per series.
+
+    Inside a series an input's values are dealt to other days: the day that is
+    k-th by date gets the value of the day that is k-th by a hash of series,
+    day, input and seed. ``score`` is the rise of the mean absolute error. The
+    result depends on the rows and the seed alone, not on their partitioning.
+    A series' holdout is a group; models without inputs give no rows.
+
+    Each row is unfolded once per input beside its own forecast, and one shuffle
+    by (series, input) brings a series' values together.
+    """
+    if model.method not in ("ridge", "linear_trend", "seasonal_naive", "ets"):
+        raise ValueError(f"no permutation importance for {model.method!r}")
+    if not model.inputs:
+        return holdout.select(
+            F.col(model.series).alias("series"), F.lit(0).alias("rank"),
+            F.lit("").alias("feature_name"), F.lit(0.0).alias("score"),
+        ).where(F.lit(False))
+    day = F.col(model.timestamp)
+    names = F.array(*(F.lit(n) for n in model.inputs))
+    values = F.array(*(_input(n, model.timestamp) for n in model.inputs))
+    base = holdout.join(model.params, model.series).select(
+        F.col(model.series).alias("series"),
+        day.alias("day"),
+        F.col(target).cast("double").alias("actual"),
+        _ridge(model)[0].alias("forecast"),
+        "beta",
+        "sd_x",
+        F.posexplode(F.arrays_zip(names.alias("name"), values.alias("own"))).alias("at", "input"),
+    )
+    key = F.md5(F.concat_ws("|", "series", F.date_format("day", "yyyy-MM-dd"), "input.name", F.lit(str(seed))))
+    base = base.select("*", F.col("input.name").alias("feature_name"), F.col("input.own").alias("own"), key.alias("mix"))
+    group = Window.partitionBy("series", "feature_name")
+    mixed = F.sort_array(F.collect_list(F.struct("mix", "day", "own")).over(group))
+    moved = F.element_at(F.col("mixed.own"), F.row_number().over(group.orderBy("day")))
+    rows = base.withColumn("mixed", mixed).withColumn("given", moved)
+    scale = F.col("sd_x")[F.col("at")]
+    shift = F.when(scale > 0, F.col("beta")[F.col("at")] * (F.col("given") - F.col("own")) / scale).otherwise(0.0)
+    rise = F.abs(F.col("actual") - (F.col("forecast") + shift)) - F.abs(F.col("actual") - F.col("forecast"))
+    scores = rows.groupBy("series", "feature_name").agg(F.round(F.avg(rise), digits).alias("score"))
+    place = F.row_number().over(Window.partitionBy("series").orderBy(F.desc("score"), "feature_name"))
+    return scores.select("series", place.alias("rank"), "feature_name", "score")
+
+
 def importance_corr(
     train: DataFrame,
     *,
@@ -237,6 +324,83 @@ def _linear(day: Column) -> tuple[Column, Column]:
     )
 
 
+def _fit_boosted(
+    train: DataFrame, series: str, day: str, target: str, exogenous: Sequence[str], horizon: int
+) -> ForecastModel:
+    """Trees over all series: the target by its series' level, from lags no shorter than the horizon.
+
+    Such lags are known for every day that is forecast, so forecasts do not
+    feed on forecasts. Rows without the longest lag do not train. Interval
+    widths come from a fit without the last ``horizon`` days, which it then
+    forecasts.
+    """
+    w = per_series(series, day)
+    y = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
+    level = F.avg(F.abs(F.col("y"))).over(Window.partitionBy(series))
+    rows = train.select(series, day, y.alias("y"), *exogenous).withColumn("level", level)
+    rows = rows.withColumn("level", F.when(F.col("level") > 0, F.col("level")).otherwise(1.0))
+    far = horizon + max(*LAGS, LEVEL_DAYS - 1)
+    lags = {f"lag_{horizon + k}": lagged(w, "y", horizon + k) / F.col("level") for k in LAGS}
+    mean = F.avg("y").over(w.rowsBetween(1 - LEVEL_DAYS - horizon, -horizon)) / F.col("level")
+    rows = rows.withColumns({
+        **lags, f"mean_{horizon}": mean, "answer": F.col("y") / F.col("level"), "age": F.row_number().over(w),
+    })
+    names = (*exogenous, *lags, f"mean_{horizon}")
+    spark = train.sparkSession
+    kept, work = LayerStore(spark), LayerStore(spark)
+    rows = work.write(rows.where(F.col("age") > far), "boosted", "rows")
+    keep = lambda df: work.write(df, "boosted", "bins")
+    forest = boosting.train(rows, names, "answer", keep)
+    cut = cutoff(rows, horizon, date=day)
+    early = boosting.train(rows.where(F.col(day) <= cut), names, "answer", keep)
+    inputs = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names]
+    errors = rows.where(F.col(day) > cut).select(
+        F.datediff(day, cut).alias("step"), F.abs(F.col("answer") - boosting.value(early, inputs)).alias("size")
+    )
+    errors = kept.write(errors, "boosted", "errors")
+    work.close()
+    params = train.groupBy(series).agg(
+        F.max(day).alias("last_day"),
+        F.avg(F.abs(y)).alias("level"),
+        F.sort_array(F.collect_list(F.struct(F.col(day).alias("d"), y.alias("v"))), asc=False).alias("days"),
+    )
+    params = params.select(
+        series, "last_day", F.when(F.col("level") > 0, F.col("level")).otherwise(1.0).alias("level"),
+        F.reverse(F.slice("days.v", 1, RECENT)).alias("recent"),
+    )
+    return ForecastModel("boosted", params, series, day, names, horizon=horizon, forest=forest, residuals=errors)
+
+
+def _boosted(model: ForecastModel, interval: float) -> tuple[Column, Column]:
+    step = F.datediff(F.col(model.timestamp), F.col("last_day"))
+    last = F.size("recent") - 1
+
+    def known(lag: int) -> Column:
+        return F.coalesce(F.get("recent", F.least(last, last + step - lag)), F.lit(0.0)) / F.col("level")
+
+    at = F.greatest(F.least(last, last + step - model.horizon) - LEVEL_DAYS + 2, F.lit(1))
+    days = F.slice("recent", at, LEVEL_DAYS)
+    mean = F.aggregate(days, F.lit(0.0), lambda s, x: s + x) / F.greatest(F.size(days), F.lit(1)) / F.col("level")
+    inputs = []
+    for name in model.inputs:
+        if name == f"mean_{model.horizon}":
+            inputs.append(mean)
+        elif name.startswith("lag_"):
+            inputs.append(known(int(name[4:])))
+        else:
+            inputs.append(F.coalesce(F.col(name).cast("double"), F.lit(0.0)))
+    forecast = boosting.value(model.forest, inputs) * F.col("level")
+    # One number per step; a later step is never narrower than one before it.
+    found = model.residuals.groupBy("step").agg(F.percentile_approx("size", interval, 10_000).alias("q")).collect()
+    by_step = {r.step: r.q for r in found}
+    widths, most = [], 0.0
+    for s in range(1, model.horizon + 1):
+        most = max(most, by_step.get(s, 0.0))
+        widths.append(most)
+    half = F.element_at(F.array(*(F.lit(x) for x in widths)), F.greatest(F.least(step, F.lit(model.horizon)), F.lit(1)))
+    return forecast, half * F.col("level")
+
+
 def _input(name: str, day: str) -> Column:
     """A model input as DOUBLE: trend, weekday indicator or exogenous column."""
     if name == TREND:

@@ -104,8 +104,23 @@ def series_audit(df: DataFrame, key: str = S.SERIES, date: str = S.DATE) -> Data
         F.count("*").alias("total_rows"),
         F.min(date).alias("start_date"),
         F.max(date).alias("end_date"),
-        F.count_distinct(date).alias("unique_dates"),
-    )
+    ).join(distinct_days(df, key, date), key)
+
+
+def distinct_days(df: DataFrame, key: str = S.SERIES, date: str = S.DATE, name: str = "unique_dates") -> DataFrame:
+    """(key, name): how many different days each key has; nulls are none.
+
+    A day's number is a bit of a map, and maps are joined bit by bit before the
+    shuffle as well as after it. So a task sends one map per key and some 90
+    years, however many rows it has, where counting distinct pairs sends them all.
+    """
+    number = F.datediff(date, F.lit("0001-01-01").cast("date"))
+    bits = df.select(key, F.bitmap_bucket_number(number).alias("_span"), F.bitmap_bit_position(number).alias("_bit"))
+    maps = bits.where("_bit IS NOT NULL").groupBy(key, "_span").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    # A key without any day still has its row.
+    none = df.select(key).groupBy(key).agg(F.lit(0).cast("bigint").alias("_n"))
+    counts = maps.select(key, F.bitmap_count("_map").alias("_n")).unionByName(none)
+    return counts.groupBy(key).agg(F.sum("_n").alias(name))
 
 
 def panel_summary(panel: DataFrame) -> DataFrame:
@@ -146,16 +161,11 @@ def key_map_coverage(
 def data_profile(panel: DataFrame) -> DataFrame:
     """Per-series profile: span, totals, peaks, rates and zero-case days.
 
-    Distinct days are counted apart from the rest: only (series, day) pairs go
-    through that shuffle, while all other figures combine on the map side to
-    one row per series.
+    All figures combine on the map side to one row per series, distinct days as
+    bitmaps.
     """
     c = F.col
-    days = (
-        panel.select(S.SERIES, S.DATE).distinct().groupBy(S.SERIES).agg(
-            F.count(S.DATE).alias("total_days")
-        )
-    )
+    days = distinct_days(panel, name="total_days")
     cases, deaths = F.max("cumulative_cases"), F.max("cumulative_deaths")
     recovered = F.max("cumulative_recovered")
     zero_days = count_where(c("new_cases") == 0)

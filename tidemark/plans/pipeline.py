@@ -11,6 +11,7 @@ from tidemark import schemas as S
 from tidemark.operators import features as feat
 from tidemark.operators import forecast as fc
 from tidemark.operators import models, panel, profile, risk, text
+from tidemark.operators.completions import complete_once
 from tidemark.sources import staging
 from tidemark.sources.layers import LayerStore
 
@@ -39,6 +40,7 @@ class Pipeline:
         interval: float = 0.95,
         complete: Callable[[list[str]], list[str]] | None = None,
         page_size: int = 1000,
+        ledger: str | None = None,
         store: LayerStore | None = None,
     ):
         self.long, self.vacc, self.key_map = long, vacc, key_map
@@ -47,6 +49,7 @@ class Pipeline:
         self.horizon, self.holdout, self.interval = horizon, holdout, interval
         self.complete = complete
         self.page_size = page_size
+        self.ledger = ledger  # folder in which completions are kept, so that each is asked for once
         self._others: dict[str, Pipeline] = {method: self}
         self.spark: SparkSession = long.sparkSession
         self.store = store or LayerStore(self.spark)
@@ -61,7 +64,7 @@ class Pipeline:
         other = Pipeline(
             self.long, self.vacc, self.key_map, exclude=self.exclude, method=method,
             horizon=self.horizon, holdout=self.holdout, interval=self.interval,
-            complete=self.complete, page_size=self.page_size, store=self.store,
+            complete=self.complete, page_size=self.page_size, ledger=self.ledger, store=self.store,
         )
         other.__dict__.update(panel=self.panel, features=self.features)
         other._others = self._others
@@ -227,7 +230,10 @@ class Pipeline:
         return self.store.write(df, MARTS, f"{name}_{self.method}")
 
     def _text(self, prompts: DataFrame, out: str, name: str) -> DataFrame:
-        df = text.complete(prompts, self.complete, out)
+        if self.complete and self.ledger:
+            df = complete_once(prompts, self.complete, self.ledger, out)
+        else:
+            df = text.complete(prompts, self.complete, out)
         return self.store.write(df, MARTS, f"{name}_{self.method}")
 
 

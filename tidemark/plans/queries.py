@@ -7,16 +7,19 @@ application and data directory; each query then runs its operator on them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.aggregates import exact_median
-from tidemark.functions.filters import latest_per_key, since_first_end
+from tidemark.functions.filters import latest, latest_per_key, since_first_end
 from tidemark.operators import features as feat
 from tidemark.operators import forecast as fc
-from tidemark.operators import models, panel, present, profile, risk, text
+from tidemark.operators import backtest, models, panel, present, profile, risk, text
+from tidemark.operators.completions import complete_once
+from tidemark.operators.names import name_suggest
 from tidemark.plans.pipeline import Pipeline, staged
 from tidemark.sources import staging, tpch
 from tidemark.sources.layers import LayerStore
@@ -31,6 +34,7 @@ CHECK_FROM, CHECK_TO = "1998-03-01", "1998-03-31"
 STUB_SINCE = "2001-01-01"
 SEED = 42
 PAGE = 10
+WINDOW = 180  # days that a rolling origin fits on
 NAMES = ["NATION_1", "NATION_2", "NATION_3", "NATION_7", "NATION_11", "NATION_24", "ATLANTIS"]
 COMPARED = ["NATION_1", "NATION_2", "NATION_3", "NATION_7", "NATION_11"]
 
@@ -81,6 +85,51 @@ def _forecast(p: Pipeline, method: str) -> DataFrame:
     return _rounded(df, 2, "forecast", "lower_bound", "upper_bound")
 
 
+def _origins(p: Pipeline) -> DataFrame:
+    """Rolling origins before the holdout."""
+    return backtest.origins(fc.train_split(p.training, p.holdout), WINDOW, p.horizon)
+
+
+def _calibrated(p: Pipeline, predictions: DataFrame, train: DataFrame) -> DataFrame:
+    """``predictions`` with intervals from the errors of the origins in ``train``."""
+    errors = backtest.bands(backtest.origins(train, WINDOW, p.horizon), p.interval)
+    return backtest.calibrated(predictions, errors, latest(train))
+
+
+def _coverage(p: Pipeline) -> DataFrame:
+    """The holdout inside the intervals of three ways to make them."""
+    ways = {
+        "ets": p.with_method("ets").eval_predictions,
+        "linear_trend": p.eval_predictions,
+        "linear_trend_calibrated": _calibrated(p, p.eval_predictions, fc.train_split(p.training, p.holdout)),
+    }
+    found = reduce(DataFrame.unionByName, (df.withColumn("method", F.lit(name)) for name, df in ways.items()))
+    return backtest.coverage(found, fc.test_actuals(p.training, p.holdout), ["method"])
+
+
+def _tolerant(p: Pipeline) -> DataFrame:
+    """Rows of a mart that is there, by its path, and of one that is not."""
+    there = staging.load(p.spark, p.store.table("marts", f"country_stats_{p.method}").path) if p.stats else None
+    gone = staging.load_or_empty(p.spark, f"{p.store.root}/marts/none", there.schema)
+    count = lambda df, name: df.agg(F.lit(name).alias("mart"), F.count("*").alias("mart_rows"))
+    return count(there, "there").unionByName(count(gone, "gone"))
+
+
+def _characters(prompts: list[str]) -> list[str]:
+    """Stands for a service that takes one prompt at a time."""
+    if len(prompts) > 1:
+        raise RuntimeError("one prompt at a time")
+    return [f"{len(p)} characters" for p in prompts]
+
+
+def _respelled(p: Pipeline) -> DataFrame:
+    """The key map's names as another source might write them: ``NATION_12`` as ``12, Nation``, and one in three ``Nation12``."""
+    number = F.split_part("source_name", F.lit("_"), F.lit(2))
+    word = F.initcap(F.split_part("source_name", F.lit("_"), F.lit(1)))
+    other = F.when(number.cast("int") % 3 == 0, F.concat(word, number)).otherwise(F.concat_ws(", ", number, word))
+    return p.key_map.select(other.alias("other_name"))
+
+
 def _key(*columns: str) -> list[str]:
     return [S.SERIES, S.DATE, *columns]
 
@@ -154,6 +203,10 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     ),
     "name_reconcile": lambda p: profile.name_reconcile(p.long, NAMES),
     "name_reconcile_second": lambda p: profile.name_reconcile(p.vacc, NAMES),
+    "name_suggest": lambda p: name_suggest(p.key_map, _respelled(p), "source_name", "other_name"),
+    "schema_listing": lambda p: staging.describe_schema(p.features),
+    "mart_preview": lambda p: staging.preview(p.stats.select(S.SERIES, "risk_tier").orderBy(S.SERIES), 5),
+    "tolerant_load": lambda p: _tolerant(p),
     "distinct_types": lambda p: profile.distinct_values(p.long),
     "date_range": lambda p: profile.date_range(p.long),
     "row_leaderboard": lambda p: profile.row_leaderboard(p.long, 10),
@@ -180,12 +233,25 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     "forecast_seasonal_naive": lambda p: _forecast(p, "seasonal_naive"),
     "forecast_linear_trend": lambda p: _forecast(p, "linear_trend"),
     "forecast_ridge": lambda p: _forecast(p, "ridge"),
+    "forecast_ets": lambda p: _forecast(p, "ets"),
+    "forecast_boosted": lambda p: _rounded(
+        p.with_method("boosted").forecast, 2, "forecast", "lower_bound", "upper_bound"
+    ),
+    "forecast_calibrated": lambda p: _rounded(
+        _calibrated(p, p.forecast, p.training), 2, "forecast", "lower_bound", "upper_bound"
+    ),
+    "backtest_origins": lambda p: _rounded(_origins(p), 2, "forecast"),
+    "backtest_scores": lambda p: _rounded(backtest.scores_by_step(_origins(p)), 2, "mae", "rmse", "bias"),
+    "interval_coverage": _coverage,
     "forecast_eval": lambda p: _rounded(
         fc.evaluate(p.eval_predictions, fc.test_actuals(p.training)), 2, "total_actual"
     ),
     "forecast_eval_ridge": lambda p: _rounded(
         p.with_method("ridge").evaluation, 2, "total_actual"
     ),
+    "forecast_eval_ets": lambda p: _rounded(p.with_method("ets").evaluation, 2, "total_actual"),
+    "forecast_eval_boosted": lambda p: _rounded(p.with_method("boosted").evaluation, 2, "total_actual"),
+    "importance_boosted": lambda p: _rounded(p.with_method("boosted").importance, 6, "score"),
     "eval_report": lambda p: fc.eval_report(p.evaluation),
     "overall_metrics": lambda p: fc.overall_metrics(p.evaluation),
     "forecast_output": lambda p: fc.forecast_output(
@@ -193,7 +259,11 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     ),
     "forecast_day_counts": lambda p: profile.forecast_day_counts(p.output),
     "importance_corr": lambda p: models.importance_corr(p.training),
-    "importance_ridge": lambda p: models.fit(p.training, "ridge").feature_importance(),
+    "importance_ridge": lambda p: _rounded(models.fit(p.training, "ridge").feature_importance(), 6, "score"),
+    "importance_permutation": lambda p: models.importance_permutation(
+        models.fit(fc.train_split(p.training, p.holdout), "ridge"),
+        fc.trailing(p.training, p.holdout), seed=SEED, digits=2,
+    ),
     "synthetic_forecast": lambda p: fc.synthetic_forecast(
         p.long, p.key_map, since=STUB_SINCE, seed=SEED
     ),
@@ -227,6 +297,13 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
     "completion_hook": lambda p: text.complete(
         text.prompt_briefing(p.stats), lambda batch: [f"{len(t)} characters" for t in batch], "answer"
     ).drop("generated_at"),
+    "completion_ledger": lambda p: complete_once(
+        text.prompt_briefing(p.stats), _characters, f"{p.store.root}/ledger", "answer"
+    ).drop("generated_at"),
+    "narrative_stamps": lambda p: p.narratives.select(
+        S.SERIES, F.col("generated_at").isNotNull().alias("stamped"),
+        (F.col("generated_at") <= F.current_timestamp()).alias("not_later"),
+    ),
     "global_narrative": lambda p: text.complete(
         text.prompt_global(p.rollup), out="global_narrative"
     ).drop("generated_at"),

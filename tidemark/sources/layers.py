@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.versions import VersionedTable
+
 
 def shared_root(spark: SparkSession) -> str:
     """The shared directory for materialised data.
@@ -27,22 +29,31 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The frame written to the shared directory, without its lineage: for narrow rows that several steps read."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_root(df.sparkSession)}/checkpoints")
+    return df.checkpoint()
+
+
 class LayerStore:
-    """Named Parquet layers below one root directory.
+    """Named layers below one root directory, each a ``VersionedTable``.
 
-    What another store left at a layer's path is replaced; a store's own later
-    versions of the layer go to paths of their own, so frames that were read
-    from an earlier version stay valid until ``close``.
+    Replacing a layer does not disturb who reads it: frames that were read from
+    an earlier version stay valid until ``vacuum`` or ``close``.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = root or f"{shared_root(spark)}/tidemark/{uuid.uuid4().hex}"
-        self._latest: dict[tuple[str, str], str] = {}
+
+    def table(self, layer: str, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/{layer}/{name}")
 
     def path(self, layer: str, name: str) -> str:
         """Where the layer's latest version is."""
-        return self._latest[layer, name]
+        return self.table(layer, name).location()
 
     def write(
         self, df: DataFrame, layer: str, name: str, cluster_by: tuple[str, ...] = ()
@@ -52,25 +63,47 @@ class LayerStore:
         ``cluster_by`` sorts rows within each file, without a shuffle, so that
         the row-group statistics let range filters on those columns skip data.
         """
-        if cluster_by:
-            df = df.sortWithinPartitions(*cluster_by)
-        path = f"{self.root}/{layer}/{name}"
-        if (layer, name) in self._latest:
-            path += f"-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
-        self._latest[layer, name] = path
-        return self.read(layer, name)
+        return self.table(layer, name).replace(df, cluster_by)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        return self.table(layer, name).read()
 
     def save_table(self, df: DataFrame, table: str) -> DataFrame:
-        """Replace a catalog table with ``df``."""
-        df.write.mode("overwrite").saveAsTable(table)
+        """Replace a catalog table with ``df``.
+
+        The rows are written beside the old ones first. A table with the same
+        columns then changes its location, in one step, and a query that has
+        begun keeps the files it began with. Only a table that is new, was made
+        otherwise, or has other columns is dropped and created, and is missing
+        in between.
+        """
+        versions = VersionedTable(self.spark, f"{self.root}/tables/{table}")
+        version = versions.stage(df)
+        location = versions.location(version)
+        if self.spark.catalog.tableExists(table) and self._moves(table, df):
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.catalog.createTable(table, path=location, source="parquet")
+        versions.publish(version)
+        self.spark.catalog.refreshTable(table)
         return self.spark.table(table)
 
+    def _moves(self, table: str, df: DataFrame) -> bool:
+        """Whether the table is one of ours with the columns of ``df``."""
+        plain = lambda schema: [(f.name, f.dataType) for f in schema]
+        about = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        return (
+            about.get("Type") == "EXTERNAL"
+            and about.get("Provider", "").lower() == "parquet"
+            and plain(self.spark.table(table).schema) == plain(df.schema)
+        )
+
+    def vacuum(self, layer: str, name: str, older_than: float) -> list[str]:
+        """Remove a layer's versions that stopped being current ``older_than`` seconds ago."""
+        return self.table(layer, name).vacuum(older_than)
+
     def close(self) -> None:
         """Remove all layers of this store; frames that read them are of no use afterwards."""
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
-        self._latest.clear()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.functions.scalars import strip_quotes
+from tidemark.sources.versions import VersionedTable
 
 KEY_MAP_SCHEMA = "source_name string, second_name string"
 
@@ -73,8 +74,11 @@ def horizon(days: int, column: str = "step"):
 
 
 def load(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
-    """A catalog table by name, or files by path."""
+    """A catalog table by name, or files by path: of a versioned table, those of its current version."""
     if "/" in name_or_path:
+        versions = VersionedTable(spark, name_or_path)
+        if fmt == "parquet" and versions.exists():
+            return versions.read()
         return spark.read.format(fmt).load(name_or_path)
     return spark.table(name_or_path)
 

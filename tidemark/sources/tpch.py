@@ -41,9 +41,10 @@ def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (series, sub-region, category) on every day the series has orders.
 
     Sub-regions are the customers' segments and categories those of the orders'
-    statuses, as the tables have them, null included. A series' cells of a day are
-    summed, and combinations without orders are added as 0; the lists of segments
-    and categories are scalars, so no grid is joined. Join strategies are left to
+    statuses, as the tables have them, null included. Every cell of a series' day
+    comes once more with 0, and the two are summed, so no grid is joined; the lists
+    of segments and categories are scalars. Sums and running sums share one shuffle
+    by (series, sub-region, category). Join strategies are left to
     the optimizer: customers grow with orders, so their size decides at run
     time, and a hot customer is split by the adaptive skew join.
     """
@@ -60,27 +61,26 @@ def raw_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = orders.agg(F.collect_set(F.struct("case_type"))).scalar()
     known = F.array(*(F.struct(F.lit(t).alias("case_type")) for t in STATUS_TYPES.values()))
     confirmed = F.col("case_type") == STATUS_TYPES["F"]
-    here = F.struct("province_state", "case_type")
-    daily = (
+    present = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy(S.SERIES, S.DATE, "province_state", "case_type")
         .agg(F.sum("amount").alias("amount"), F.count("*").alias("n"))
-        .withColumn("v", F.when(confirmed, F.col("amount")).otherwise(F.col("n")))
-        .groupBy(S.SERIES, S.DATE)
-        .agg(F.collect_list(F.struct(here.alias("cell"), "v")).alias("have"))
+        .select(
+            S.SERIES, S.DATE, "province_state", "case_type",
+            F.when(confirmed, F.col("amount")).otherwise(F.col("n")).alias("v"),
+        )
     )
-    cells = daily.select(S.SERIES, S.DATE, "have", F.explode(segments).alias("segment")).select(
-        S.SERIES, S.DATE, "have", "segment.province_state", F.explode(F.array_union(known, seen)).alias("kind")
+    days = present.select(S.SERIES, S.DATE).distinct()
+    empty = days.select(S.SERIES, S.DATE, F.explode(segments).alias("segment")).select(
+        S.SERIES, S.DATE, "segment.province_state", F.explode(F.array_union(known, seen)).alias("kind")
     )
-    cells = cells.select(S.SERIES, S.DATE, "province_state", "kind.case_type", "have")
-    found = F.filter(
-        "have",
-        lambda h: h["cell"]["province_state"].eqNullSafe(F.col("province_state"))
-        & h["cell"]["case_type"].eqNullSafe(F.col("case_type")),
+    empty = empty.select(
+        S.SERIES, S.DATE, "province_state", "kind.case_type", F.lit(0).cast("bigint").alias("v")
     )
-    daily = cells.withColumn("v", F.coalesce(F.get(found, 0)["v"], F.lit(0).cast("bigint"))).drop("have")
-    w = Window.partitionBy(S.SERIES, "province_state", "case_type").orderBy(S.DATE)
+    cell = [S.SERIES, "province_state", "case_type"]
+    daily = present.unionByName(empty).repartition(*cell).groupBy(*cell, S.DATE).agg(F.sum("v").alias("v"))
+    w = Window.partitionBy(*cell).orderBy(S.DATE)
     return daily.select(
         S.SERIES,
         "province_state",
