@@ -114,18 +114,20 @@ def train(
     bins: int = 32,
     penalty: float = 10.0,
     settle: int = 5,
+    otherwise: float = 0.0,
 ) -> Forest:
     """Trees that explain ``target`` by the columns ``names``; nulls count as 0.
 
     ``keep`` writes a frame to shared storage and returns a reader of it. The
     binned rows are written once, and the sums explained so far again every
     ``settle`` trees, so plans stay short. An empty table gives a forest that
-    answers 0.
+    answers ``otherwise``.
     """
     raw = [F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)) for n in names]
     answer = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
     edges = quantile_edges(rows, raw, bins)
-    base = rows.agg(F.round(F.avg(answer), 6)).first()[0] or 0.0
+    base = rows.agg(F.round(F.avg(answer), 6)).first()[0]
+    base = otherwise if base is None else base
     unit = lambda x: F.round(x * UNIT).cast("bigint")
     binned = keep(rows.select(
         *(bin_of(x, e).cast("tinyint" if bins <= 128 else "int").alias(f"b{i}") for i, (x, e) in enumerate(zip(raw, edges))),

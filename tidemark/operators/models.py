@@ -350,9 +350,9 @@ def _fit_boosted(
     kept, work = LayerStore(spark), LayerStore(spark)
     rows = work.write(rows.where(F.col("age") > far), "boosted", "rows")
     keep = lambda df: work.write(df, "boosted", "bins")
-    forest = boosting.train(rows, names, "answer", keep)
+    forest = boosting.train(rows, names, "answer", keep, otherwise=1.0)  # its level, if nothing is known
     cut = cutoff(rows, horizon, date=day)
-    early = boosting.train(rows.where(F.col(day) <= cut), names, "answer", keep)
+    early = boosting.train(rows.where(F.col(day) <= cut), names, "answer", keep, otherwise=1.0)
     inputs = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names]
     errors = rows.where(F.col(day) > cut).select(
         F.datediff(day, cut).alias("step"), F.abs(F.col("answer") - boosting.value(early, inputs)).alias("size")
@@ -365,7 +365,8 @@ def _fit_boosted(
         F.sort_array(F.collect_list(F.struct(F.col(day).alias("d"), y.alias("v"))), asc=False).alias("days"),
     )
     params = params.select(
-        series, "last_day", F.when(F.col("level") > 0, F.col("level")).otherwise(1.0).alias("level"),
+        series, "last_day", F.col("level").alias("size"),
+        F.when(F.col("level") > 0, F.col("level")).otherwise(1.0).alias("level"),
         F.reverse(F.slice("days.v", 1, RECENT)).alias("recent"),
     )
     return ForecastModel("boosted", params, series, day, names, horizon=horizon, forest=forest, residuals=errors)
@@ -389,7 +390,7 @@ def _boosted(model: ForecastModel, interval: float) -> tuple[Column, Column]:
             inputs.append(known(int(name[4:])))
         else:
             inputs.append(F.coalesce(F.col(name).cast("double"), F.lit(0.0)))
-    forecast = boosting.value(model.forest, inputs) * F.col("level")
+    forecast = boosting.value(model.forest, inputs) * F.col("size")
     # One number per step; a later step is never narrower than one before it.
     found = model.residuals.groupBy("step").agg(F.percentile_approx("size", interval, 10_000).alias("q")).collect()
     by_step = {r.step: r.q for r in found}
@@ -398,7 +399,7 @@ def _boosted(model: ForecastModel, interval: float) -> tuple[Column, Column]:
         most = max(most, by_step.get(s, 0.0))
         widths.append(most)
     half = F.element_at(F.array(*(F.lit(x) for x in widths)), F.greatest(F.least(step, F.lit(model.horizon)), F.lit(1)))
-    return forecast, half * F.col("level")
+    return forecast, half * F.col("size")
 
 
 def _input(name: str, day: str) -> Column:

@@ -1,10 +1,11 @@
 """Tables that are replaced as a whole while others read them.
 
 Each version is a folder of its own, written in full before anyone can see it.
-One small file names the current version, and a new one is renamed over it,
-which file systems do in one step. A reader takes the name once and stays with
-that version's files; a reader that comes later gets the next. Versions that
-are neither current nor young are removed by ``vacuum``.
+An empty file, whose name has the time and the version, then publishes it: it is
+there or it is not, on every file system, and nothing is overwritten. The
+current version is that of the latest such file. A reader looks once and stays
+with that version's files; a reader that comes later gets the next. Versions
+that are neither current nor young are removed by ``vacuum``.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-CURRENT = "_current"
-VERSIONS = "versions"
+PUBLISHED, VERSIONS = "published", "versions"
 
 
 class VersionedTable:
@@ -35,19 +35,21 @@ class VersionedTable:
     def _folder(self, version: str) -> str:
         return f"{self.path}/{VERSIONS}/{version}"
 
-    def current(self) -> str | None:
-        """The name of the current version; None before the first."""
-        jvm = self.spark._jvm
+    def _names(self, folder: str) -> list[str]:
+        """What is in a folder below the table, in order, hidden files left out."""
+        at, files = self._hadoop(f"{self.path}/{folder}"), self._files()
         try:
-            stream = self._files().open(self._hadoop(f"{self.path}/{CURRENT}"))
+            found = files.listStatus(at)
         except Exception as e:
             if "FileNotFoundException" in str(e):
-                return None
+                return []
             raise
-        try:
-            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-        finally:
-            stream.close()
+        return sorted(n for n in (f.getPath().getName() for f in found) if not n.startswith((".", "_")))
+
+    def current(self) -> str | None:
+        """The name of the current version; None before the first."""
+        marks = self._names(PUBLISHED)
+        return marks[-1].split(".")[1] if marks else None
 
     def exists(self) -> bool:
         return self.current() is not None
@@ -78,18 +80,8 @@ class VersionedTable:
 
     def publish(self, version: str) -> None:
         """Make a staged version the current one, in one step."""
-        jvm, files = self.spark._jvm, self._files()
-        fresh = self._hadoop(f"{self.path}/{CURRENT}.{uuid.uuid4().hex}")
-        out = files.create(fresh, False)
-        out.write(bytearray(version, "utf-8"))
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            files.getUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        rename = jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        context.rename(files.makeQualified(fresh), files.makeQualified(self._hadoop(f"{self.path}/{CURRENT}")), options)
+        mark = self._hadoop(f"{self.path}/{PUBLISHED}/{time.time_ns():020d}.{version}")
+        self._files().create(mark, False).close()
 
     def replace(self, df: DataFrame, cluster_by: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write and publish a new version; returns a reader pinned to it.
@@ -101,28 +93,22 @@ class VersionedTable:
         return self.read(version)
 
     def versions(self) -> list[str]:
-        """All versions that are there, the oldest first."""
-        folder = self._hadoop(f"{self.path}/{VERSIONS}")
-        files = self._files()
-        if not files.exists(folder):
-            return []
-        return sorted(f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory())
+        """All versions that are there, published or not, the oldest first."""
+        return self._names(VERSIONS)
 
     def vacuum(self, older_than: float) -> list[str]:
         """Remove versions that stopped being current more than ``older_than`` seconds ago; returns them.
 
-        A version stops being current when the next one is begun, at the
-        earliest. Jobs that run longer than ``older_than`` have to be counted
-        on by whoever sets it. Versions after the current one are being
-        written and stay.
+        Jobs that read a version for longer than that have to be counted on by
+        whoever sets it. Versions that are not published yet stay.
         """
+        marks, now, gone = self._names(PUBLISHED), time.time_ns(), []
         current = self.current()
-        every = self.versions()
-        now, gone = time.time_ns(), []
-        for version, follower in zip(every, every[1:]):
-            if current is None or version >= current:
-                break
-            if now - int(follower.split("-")[0]) > older_than * 1e9:
-                self._files().delete(self._hadoop(self._folder(version)), True)
-                gone.append(version)
+        for mark, follower in zip(marks, marks[1:]):
+            version = mark.split(".")[1]
+            if version == current or now - int(follower.split(".")[0]) <= older_than * 1e9:
+                continue
+            self._files().delete(self._hadoop(self._folder(version)), True)
+            self._files().delete(self._hadoop(f"{self.path}/{PUBLISHED}/{mark}"), False)
+            gone.append(version)
         return gone
