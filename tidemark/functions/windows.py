@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.schemas import DATE, SERIES
 
 
-def per_series(series: str = SERIES, date: str = DATE) -> WindowSpec:
-    return Window.partitionBy(series).orderBy(date)
+def per_series(series: str = SERIES, date: str = DATE, *within: str) -> WindowSpec:
+    return Window.partitionBy(series, *within).orderBy(date)
 
 
 def rolling_mean(w: WindowSpec, column: str, days: int, digits: int | None = 2) -> Column:

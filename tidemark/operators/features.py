@@ -23,6 +23,8 @@ ROLLING = {
 }
 COVERAGE = "people_fully_vaccinated_per_hundred"
 SURGE_THRESHOLD = 50
+#: Days before a row that its features depend on, carried values apart: coverage 28 days before, or 21 and then 7.
+LOOK_BACK = 28
 
 
 def surge(growth: Column, threshold: float = SURGE_THRESHOLD) -> Column:
@@ -188,13 +190,15 @@ def features(
     surge_threshold: float = SURGE_THRESHOLD,
     series: str = S.SERIES,
     date: str = S.DATE,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """The full feature table, in two window stages.
 
     Rolled means and lags of raw columns come first, lags of those second.
-    Every lag is computed once and used by name.
+    Every lag is computed once and used by name. ``within`` are columns that
+    divide a series further; they come last in the result.
     """
-    w = per_series(series, date)
+    w = per_series(series, date, *within)
     first = df.withColumns({
         **{out: rolling_mean(w, c, days, digits) for out, (c, days, digits) in ROLLING.items()},
         "_level": lagged(w, "cumulative_cases", 7),
@@ -222,4 +226,4 @@ def features(
         ),
     })
     names = {S.SERIES: series, S.DATE: date}
-    return out.select(*[names.get(n, n) for n in S.FEATURE_COLUMNS])
+    return out.select(*[names.get(n, n) for n in S.FEATURE_COLUMNS], *within)

@@ -6,6 +6,7 @@ application and data directory; each query then runs its operator on them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,8 +19,10 @@ from tidemark.functions.filters import latest, latest_per_key, since_first_end
 from tidemark.operators import features as feat
 from tidemark.operators import forecast as fc
 from tidemark.operators import backtest, models, panel, present, profile, risk, text
+from tidemark.operators.blocks import features_blocked
 from tidemark.operators.completions import complete_once
 from tidemark.operators.names import name_suggest
+from tidemark.operators.refresh import RefreshedFeatures
 from tidemark.plans.pipeline import Pipeline, staged
 from tidemark.sources import staging, tpch
 from tidemark.sources.layers import LayerStore
@@ -34,6 +37,7 @@ CHECK_FROM, CHECK_TO = "1998-03-01", "1998-03-31"
 STUB_SINCE = "2001-01-01"
 SEED = 42
 PAGE = 10
+REFRESH_DAYS = 40
 WINDOW = 180  # days that a rolling origin fits on
 NAMES = ["NATION_1", "NATION_2", "NATION_3", "NATION_7", "NATION_11", "NATION_24", "ATLANTIS"]
 COMPARED = ["NATION_1", "NATION_2", "NATION_3", "NATION_7", "NATION_11"]
@@ -107,6 +111,19 @@ def _coverage(p: Pipeline) -> DataFrame:
     return backtest.coverage(found, fc.test_actuals(p.training, p.holdout), ["method"])
 
 
+def _refreshed(p: Pipeline) -> DataFrame:
+    """Features built from a delivery without the last days and with other counts in the weeks before, then refreshed."""
+    table = RefreshedFeatures(p.spark, f"{p.store.root}/refreshed/{uuid.uuid4().hex}")
+    last = p.long.agg(F.date_sub(F.max(S.DATE), REFRESH_DAYS)).scalar()
+    other = (F.col(S.DATE) > F.date_sub(last, REFRESH_DAYS)) & (F.col(S.SERIES) == SERIES)
+    earlier = p.long.where(F.col(S.DATE) <= last).withColumn(
+        "daily_value", F.when(other, F.col("daily_value") + 1).otherwise(F.col("daily_value"))
+    )
+    table.refresh(earlier, p.vacc, p.key_map)
+    table.refresh(p.long, p.vacc, p.key_map)
+    return table.read()
+
+
 def _tolerant(p: Pipeline) -> DataFrame:
     """Rows of a mart that is there, by its path, and of one that is not."""
     there = staging.load(p.spark, p.store.table("marts", f"country_stats_{p.method}").path) if p.stats else None
@@ -184,6 +201,8 @@ _ON_PIPELINE: dict[str, Callable[[Pipeline], DataFrame]] = {
         _key("recovery_rate")
     ),
     "features_all": lambda p: _rounded(feat.features(p.filled), 2, "wow_change_7d_avg"),
+    "features_blocked": lambda p: _rounded(features_blocked(p.panel, p.keys), 2, "wow_change_7d_avg"),
+    "features_refreshed": lambda p: _rounded(_refreshed(p), 2, "wow_change_7d_avg"),
     # profiling and verification
     "data_profile": lambda p: profile.data_profile(p.panel),
     "panel_summary": lambda p: profile.panel_summary(p.panel),
