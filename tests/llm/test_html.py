@@ -1,7 +1,11 @@
 import itertools
 import random
+import time
 
 import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from conftest import SF
 
 from tidemark.llm import html_mincut as op
 
@@ -29,6 +33,38 @@ def test_page_without_an_article():
     assert op.main_text(page, op.PRIOR) == f"{long}\n{long}"
 
 
+PARAGRAPH = "Words that tell of something, one after another, and go on until the sentence comes to its end, number {}."
+
+
+@pytest.mark.parametrize(
+    "tag",
+    ['div class="legal"', 'div class="survey"', 'div class="feedback"', 'div class="popular"',
+     'div class="content legal"', 'div class="post social"', "form", 'div id="sidebar-layout"'],
+)
+def test_an_article_in_a_misleading_container(tag):
+    """Names and forms are outweighed where they hold all that reads like an article, and only there."""
+    paragraphs = [PARAGRAPH.format(i) for i in range(6)]
+    inside = "".join(f"<p>{p}</p>" for p in paragraphs)
+    nav, foot = "<nav><ul><li><a href=a>Home</a><li><a href=b>News</a></ul></nav>", "<footer>Imprint, all rights reserved.</footer>"
+    box = f"<{tag}>{inside}</{tag.split()[0]}>"
+    pages = pq.read_table(f"{SF}/pages.parquet", columns=["html"]).column(0).to_pylist()
+    for weights in (op.PRIOR, op.fit(pages)):
+        assert op.main_text(f"<body>{nav}{box}{foot}</body>", weights) == "\n".join(paragraphs)
+        other = "".join(f"<p>{PARAGRAPH.format(i)}</p>" for i in range(10, 30))
+        article = "\n".join(PARAGRAPH.format(i) for i in range(10, 30))
+        small = f"<{tag}><p>{PARAGRAPH.format(0)}</p></{tag.split()[0]}>"
+        if "content" not in tag and "post" not in tag:
+            assert op.main_text(f"<body>{nav}<article>{other}{small}</article>{foot}</body>", weights) == article
+        assert op.main_text(f"<body>{nav}<article>{other}</article>{small}{foot}</body>", weights) == article
+
+
+def test_unmatched_tags_take_linear_time():
+    for odd in ("</b>" * 200_000, "<i>" * 50_000 + "<p>x" * 2000, "<li>" * 50_000, "</p><span>" * 50_000):
+        start = time.process_time()
+        op.blocks("<article>text" + odd)
+        assert time.process_time() - start < 20
+
+
 def test_odd_pages():
     for page in (None, "", "<", "<!--", "<p", "</p></div>", "<script>x", "<nav>a</nav>", "&amp;&bogus;", "<a b='", "\x00"):
         assert isinstance(op.main_text(page, op.PRIOR), str)

@@ -9,14 +9,17 @@ maximum flow, is the labelling of least cost.
 
 The classifier adds what a page's own markup says of a block (its containers'
 tags, classes and roles) and a logistic regression on the block's text and shape,
-trained on blocks whose markup is plain, from a bounded sample of pages.
+trained on blocks whose markup is plain, from a bounded sample of pages. Tags and
+roles that name content or boilerplate, and the words of adverts, cookies and
+comments, settle a block. Other words in classes, forms and headers are marks that
+text and links can outweigh: a whole article in ``<div class="legal">`` is content.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -85,6 +88,8 @@ class Element:
     side: int  # 1 within content, -1 within boilerplate, 0 neither
     firm: bool  # nothing inside changes side
     hidden: bool
+    soft: bool = False  # the side is a guess from a name, a form or a header
+    home: Element | None = None  # the nearest block around an element that is none itself
 
 
 @dataclass
@@ -94,11 +99,12 @@ class Block:
     element: int
     side: int
     linked: int  # characters of links
+    soft: bool = False
 
 
-def _place(tag: str, attributes: str, above: Element) -> tuple[int, bool, bool]:
-    """Side, firmness and hiddenness of an element from its tag and attributes."""
-    side, firm, hidden = above.side, above.firm, above.hidden or tag in HIDDEN
+def _place(tag: str, attributes: str, above: Element) -> tuple[int, bool, bool, bool]:
+    """Side, firmness, hiddenness and softness of an element from its tag and attributes."""
+    side, firm, hidden, soft = above.side, above.firm, above.hidden or tag in HIDDEN, above.soft
     words: set[str] = set()
     role = ""
     if attributes and not attributes.isspace():
@@ -113,27 +119,29 @@ def _place(tag: str, attributes: str, above: Element) -> tuple[int, bool, bool]:
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
                 hidden = True
     if firm or tag in ("html", "body"):
-        return side, firm, hidden
+        return side, firm, hidden, soft
     if words & FIRM:
-        return -1, True, hidden
+        return -1, True, hidden, False
     if tag in ASIDE_TAGS or role in ASIDE_ROLES:
-        return -1, True, hidden
+        return -1, True, hidden, False
     if tag in MAIN_TAGS or role in ("main", "article"):
-        return 1, False, hidden
+        return 1, False, hidden, False
     if tag == "form" or tag == "header" and side < 1:
-        return -1, False, hidden
+        return -1, False, hidden, True
     if words & ASIDE_WORDS:
         # A wrapper may be named after what it holds: an article inside is still content.
-        return (side, False, hidden) if words & {"has", "no", "with"} else (-1, False, hidden)
+        return (side, False, hidden, soft) if words & {"has", "no", "with"} else (-1, False, hidden, True)
     if words & MAIN_WORDS and tag not in ("a", "span", "li", "p") and "header" not in words:
-        return 1, False, hidden
-    return side, firm, hidden
+        return 1, False, hidden, soft if side > 0 else True
+    return side, firm, hidden, soft
 
 
 def blocks(page: str) -> tuple[list[Block], list[Element]]:
     """The page's text blocks in order, and its elements by number."""
     root = Element("", 0, 0, 0, 0, False, False)
+    root.home = root
     elements, stack, out = [root], [root], []
+    open_tags: Counter[str] = Counter()
     pieces: list[str] = []
     linked = links = 0
 
@@ -142,10 +150,18 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
         text = " ".join("".join(pieces).split()) if pieces else ""
         pieces.clear()
         if text:
-            home = next((e for e in reversed(stack) if e.tag in BLOCK or e is root), root)
-            out.append(Block(text, home.tag, home.number, home.side if stack[-1].side >= home.side else -1, linked))
+            home = stack[-1].home
+            lower = stack[-1] if stack[-1].side < home.side else home
+            out.append(Block(text, home.tag, home.number, lower.side if lower is home else -1, linked, lower.soft))
         linked = 0
 
+    def leave(i: int):
+        """The elements from the ``i``-th open one on are closed."""
+        nonlocal links
+        links -= sum(e.tag == "a" for e in stack[i:])
+        open_tags.subtract(e.tag for e in stack[i:])
+        del stack[i:]
+
     at, end = 0, len(page)
     while at < end:
         found = TAG.search(page, at)
@@ -162,7 +178,7 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
             continue
         tag = found.group(2).lower()
         if found.group(1):
-            if not any(e.tag == tag for e in stack):
+            if not open_tags[tag]:
                 if tag in BLOCK:
                     flush()
                 continue
@@ -170,6 +186,7 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
                 flush()
             while len(stack) > 1:
                 gone = stack.pop()
+                open_tags[gone.tag] -= 1
                 if gone.tag in BLOCK and gone.tag != tag:
                     flush()
                 links -= gone.tag == "a"
@@ -186,15 +203,13 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
                 # A block ends an open paragraph, with the inline elements left open in it.
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == "p":
-                        links -= sum(e.tag == "a" for e in stack[i:])
-                        del stack[i:]
+                        leave(i)
                         break
                     if stack[i].tag in BLOCK:
                         break
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(open_tags[t] for t in ended) else ():
                 if stack[i].tag in ended:
-                    links -= sum(e.tag == "a" for e in stack[i:])
-                    del stack[i:]
+                    leave(i)
                     break
                 if stack[i].tag in SCOPE:
                     break
@@ -202,17 +217,19 @@ def blocks(page: str) -> tuple[list[Block], list[Element]]:
             continue
         attributes = found.group(3)
         above = stack[-1]
-        side, firm, hidden = _place(tag, attributes, above)
+        side, firm, hidden, soft = _place(tag, attributes, above)
         if attributes.endswith("/") and tag not in BLOCK:
             continue
-        element = Element(tag, len(elements), above.number, above.depth + 1, side, firm, hidden)
+        element = Element(tag, len(elements), above.number, above.depth + 1, side, firm, hidden, soft)
+        element.home = element if tag in BLOCK else above.home
         elements.append(element)
         stack.append(element)
+        open_tags[tag] += 1
         links += tag == "a"
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(page, at)
             at = close.end() if close else end
-            stack.pop()
+            leave(len(stack) - 1)
     flush()
     return out, elements
 
@@ -241,7 +258,7 @@ def fit(pages: list[str], rounds: int = 300) -> np.ndarray:
     for page in pages:
         found, _ = blocks(page)
         if found:
-            sides = np.array([b.side for b in found])
+            sides = np.array([0 if b.soft else b.side for b in found])
             xs.append(shape(found)[sides != 0])
             ys.append((sides[sides != 0] > 0).astype(float))
     x, y = np.concatenate(xs), np.concatenate(ys)
@@ -358,11 +375,24 @@ def cut(score: np.ndarray, links: list[tuple[int, int, float]]) -> np.ndarray:
 
 
 def scores(found: list[Block], weights: np.ndarray) -> np.ndarray:
-    """Above 0 for content. Markup outweighs text; in a page with an article the rest is suspect."""
+    """Above 0 for content. Firm marks outweigh text; in a page with an article the rest is suspect.
+
+    A soft mark of content adds less than text and links can take away. One of
+    boilerplate takes 0.5, which content-like text outweighs, and up to 5.5 more by
+    the share of the page's content-like characters that stand elsewhere: beside
+    an article, a box named after boilerplate is one.
+    """
     text = np.clip(shape(found) @ weights, -2.0, 2.0)
     sides = np.array([b.side for b in found])
+    soft = np.array([b.soft for b in found])
+    size = np.array([len(b.text) for b in found], float)
     marked = (sides > 0).any()
-    return np.where(sides == 0, text - (3.0 if marked else 0.0), 6.0 * sides + 0.5 * text)
+    out = np.where(sides == 0, text - (3.0 if marked else 0.0), 6.0 * sides + 0.5 * text)
+    out = np.where(soft & (sides > 0), 3.0 + text, out)
+    guessed = soft & (sides < 0)
+    elsewhere, here = size[(out > 0) & ~guessed].sum(), size[guessed & (text > 0)].sum()
+    share = elsewhere / (elsewhere + here) if here else 1.0
+    return np.where(guessed, text - 0.5 - 5.5 * share, out)
 
 
 def main_text(page: str | None, weights: np.ndarray) -> str:
