@@ -125,6 +125,21 @@ EXAMPLES = {
     "cc-ref": "Released under CC BY 4.0",
     "cc-long": "Creative Commons Attribution 4.0",
     "domain": "Released into the public domain",
+    "mit-title": "The MIT License (MIT)",
+    "isc-title": "ISC License",
+    "bsd-title": "BSD 3-Clause License",
+    "zlib-title": "zlib License",
+    "apache-title": "Apache License Version 2.0, January 2004",
+    "apache-grant": "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license",
+    "apache-patent": "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable (except as stated in this section) patent license",
+    "apache-or": "or the Apache License 2.0",
+    "apache-name": "Apache License 2.0",
+    "apache-adjective": "Apache 2.0 licensed",
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "gpl-name": "GPL v3",
+    "mpl-title": "Mozilla Public License Version 2.0",
+    "mit-or": "or MIT license",
+    "mit-adjective": "is MIT licensed",
 }
 
 
@@ -146,3 +161,76 @@ def test_examples_pass_the_gate():
 )
 def test_short_and_wrapped(text, want):
     assert [m.licence for m in op.scan(text)] == want
+
+
+GPL_HEAD = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+"""
+APACHE_HEAD = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+
+   2. Grant of Copyright License. Subject to the terms and conditions of
+      this License, each Contributor hereby grants to You a perpetual,
+      worldwide, non-exclusive, no-charge, royalty-free, irrevocable
+      copyright license to reproduce the Work.
+
+   3. Grant of Patent License. Subject to the terms and conditions of
+      this License, each Contributor hereby grants to You a perpetual,
+      worldwide, non-exclusive, no-charge, royalty-free, irrevocable
+      (except as stated in this section) patent license to make the Work.
+"""
+MPL_HEAD = "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n--------------\n"
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("MIT License", ["MIT"]), ("This project is MIT licensed.", ["MIT"]), ("License: MIT", ["MIT"]),
+        ('"license": "MIT",', ["MIT"]), ("Apache-2.0", ["Apache-2.0"]), ("see GPL-2.0-or-later.", ["GPL-2.0-or-later"]),
+        ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["Apache-2.0", "MIT"]),
+        ("Licensed under either of MIT license or the Apache License, Version 2.0.", ["MIT", "Apache-2.0"]),
+        ("Licensed under the terms of the GNU GPL version 2.", ["GPL-2.0-only"]), ("GPLv3", ["GPL-3.0"]),
+        ("The code is Apache 2.0 licensed.", ["Apache-2.0"]), ("Licence: Apache-2.0", ["Apache-2.0"]),
+        (GPL_HEAD, ["GPL-3.0"]), (GPL_HEAD.replace("GENERAL", "AFFERO GENERAL"), ["AGPL-3.0"]),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\n  Version 2.1, February 1999\n\nPreamble", ["LGPL-2.1"]),
+        (APACHE_HEAD, ["Apache-2.0"]), (APACHE_HEAD + "\n" + APACHE, ["Apache-2.0"]), (MPL_HEAD, ["MPL-2.0"]),
+        ("MIT License\n\nCopyright (c) 2020 X\n\n" + MIT, ["MIT"]),
+        ("BSD 3-Clause License\n\nCopyright X.\n\n" + BSD.format(name=NAME), ["BSD-3-Clause"]),
+        ("// SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]),
+        ("We drove the Apache 2.0 miles; submit the permit; er ging mit Lizenz.", []),
+        ("A course at MIT. License plates differ.", []), ("An example-2.0 of a simple CC list.", []),
+    ],
+)
+def test_titles_names_and_full_texts(text, want):
+    assert [m.licence for m in op.scan(text)] == want
+
+
+def test_scan_is_the_rules_applied_one_by_one():
+    """Against a plain matcher: for each rule in order, every place where its identifiers stand unused."""
+    rows = duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()
+    texts = [t for (t,) in rows] + [MIT + "\n\n" + APACHE + LGPL + BSD.format(name=NAME) + GPL_HEAD + APACHE_HEAD]
+    n = 0
+    for text in texts:
+        found = op.identified(text or "")
+        left = {i: f[0] for i, f in enumerate(found)}
+        want = []
+        for licence, sequence in op.RULES:
+            i = 0
+            while i < len(found):
+                if [left.get(j) for j in range(i, i + len(sequence))] == list(sequence):
+                    parts = [found[j] for j in range(i, i + len(sequence))]
+                    want.append((i, next(p[1] for p in parts if p[1]) if licence == "*" else licence, parts[0][2], parts[-1][3]))
+                    for j in range(i, i + len(sequence)):
+                        del left[j]
+                i += 1
+        want += [(i, "unknown", found[i][2], found[i][3]) for i, name in left.items() if name != "rights"]
+        assert [(m.licence, m.start, m.end) for m in op.scan(text)] == [w[1:] for w in sorted(want)]
+        n += len(want)
+    assert n >= 8

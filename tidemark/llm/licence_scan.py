@@ -6,7 +6,9 @@ licence sentences have identifiers; where one may name a licence in many
 versions, the version becomes part of the identifier. A text's identifiers, in
 order, are then matched against licence rules, each an ordered sequence of
 identifiers: longer rules first, each identifier used once. A licence's full
-text, its usual header and a plain reference are rules of their own.
+text, its title, its usual header and a plain reference are rules of their own.
+A text of the GPL, or its bare name, names a version; only a reference that grants
+it says whether later ones apply ("-only", "-or-later").
 """
 
 from __future__ import annotations
@@ -48,18 +50,33 @@ SENTENCES = [
     ("zlib-grant", r"permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
     ("zlib-origin", r"the origin of this software must not be misrepresented"),
     ("zlib-altered", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
-    ("apache-ref", r"licen[sc]ed under the apache license version (?P<version>\d(?:\.\d)?)"),
+    ("mit-title", r"^(?:the )?(?:mit|expat) license(?: mit)?$"),
+    ("isc-title", r"^(?:the )?isc license(?: isc)?$"),
+    ("bsd-title", r"^(?:the )?(?:bsd (?P<clauses>[234]) clause|(?P<after>[234]) clause bsd) (?:\w+ ){0,4}license$"),
+    ("zlib-title", r"^(?:the )?zlib license$"),
+    ("apache-title", r"apache license version (?P<version>\d\.\d) january 2004"),
+    ("apache-grant", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache-patent", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable except as stated in this section patent license"),
+    ("apache-ref", r"(?:licen[sc]ed|released|distributed|available) under (?:either of |the terms of )?(?:the )?apache license version (?P<version>\d(?:\.\d)?)"),
+    ("apache-or", r"or (?:the )?apache license(?: version)? (?P<version>\d(?:\.\d)?)"),
+    ("apache-name", r"apache license(?: version)? (?P<version>[12]\.\d)"),
+    ("apache-adjective", r"apache (?:version )?(?P<version>[12](?:\.\d)?) licensed?"),
     ("apache-use", r"you may not use this file except in compliance with the license"),
     ("apache-copy", r"you may obtain a copy of the license at"),
     ("apache-as-is", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("gpl-title", r"^gnu (?P<kind>affero |lesser |library )?general public license version (?P<version>\d(?:\.\d)?) (?:\d{1,2} )?(?:february|june|november) \d{4}"),
     ("gpl-ref", r"gnu (?P<kind>affero |lesser |library )?general public license(?: agpl| lgpl| gpl)?(?: as published by the free software foundation)?(?: either)? version (?P<version>\d(?:\.\d)?)(?: of the license)?(?P<later> or (?:at your option )?(?:any )?(?:later|newer))?"),
-    ("gpl-short", r"(?:licen[sc]ed|released|distributed|available) under (?:the )?(?P<kind>a|l)?gpl ?v?(?:version )?(?P<version>\d(?:\.\d)?)(?P<later>\+| or later| or any later)?"),
+    ("gpl-short", r"(?:licen[sc]ed|released|distributed|available) under (?:the )?(?:terms of the )?(?:gnu )?(?P<kind>a|l)?gpl ?v?(?:version )?(?P<version>\d(?:\.\d)?)(?P<later>\+| or later| or any later)?"),
+    ("gpl-name", r"(?:gnu )?(?P<kind>a|l)?gpl(?: ?v| version )(?P<version>[123](?:\.\d)?)(?P<later>\+| or later| or any later)?"),
     ("gpl-hope", r"distributed in the hope that it will be useful but without any warranty"),
     ("gpl-see", r"see the gnu (?:affero |lesser |library )?general public license for more details"),
     ("gpl-received", r"you should have received a copy of the gnu (?:affero |lesser |library )?general public license"),
+    ("mpl-title", r"^mozilla public license version (?P<version>\d\.\d)(?: definitions| \d)?"),
     ("mpl-ref", r"(?:subject to the terms of|licen[sc]ed under|released under) the mozilla public license (?:mpl )?(?:version )?(?P<version>\d\.\d)"),
     ("mpl-copy", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
-    ("mit-ref", r"(?:licen[sc]ed|released|distributed|available|published|provided) under (?:the )?(?:terms of the )?(?:mit|expat)(?: x11)? license"),
+    ("mit-ref", r"(?:licen[sc]ed|released|distributed|available|published|provided) under (?:either of )?(?:the )?(?:terms of the )?(?:mit|expat)(?: x11)? license"),
+    ("mit-or", r"or (?:the )?(?:mit|expat) license"),
+    ("mit-adjective", r"(?:is|are|be|was|code|project|software) (?:mit|expat) licensed"),
     ("bsd-ref", r"(?:licen[sc]ed|released|distributed|available|published) under (?:the |a )?(?:terms of the )?(?:(?P<clauses>[234]) clause |(?P<name>new|modified|simplified|original) )?bsd(?: (?P<after>[234]) clause)?(?: style)? license"),
     ("isc-ref", r"(?:licen[sc]ed|released|distributed|available) under (?:the )?(?:terms of the )?isc license"),
     ("boost-ref", r"(?:licen[sc]ed|distributed|released) under the boost software license version (?P<version>\d\.\d)"),
@@ -77,22 +94,42 @@ SENTENCES = [
 
 #: (licence, sequence of identifiers), the first that matches wins. "*": as its identifier says.
 RULES = [
+    ("MIT", ("mit-title", "mit-grant", "mit-notice", "as-is", "no-event")),
     ("MIT", ("mit-grant", "mit-notice", "as-is", "no-event")),
+    ("MIT", ("mit-title", "mit-grant", "mit-notice", "as-is")),
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
+    ("ISC", ("isc-title", "isc-grant", "as-is")),
     ("ISC", ("isc-grant", "as-is")),
     ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-name", "bsd-as-is")),
+    ("BSD-3-Clause", ("bsd-title", "bsd-grant", "bsd-source", "bsd-binary", "bsd-name", "bsd-as-is")),
+    ("BSD-2-Clause", ("bsd-title", "bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name", "bsd-as-is")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is")),
     ("Zlib", ("zlib-as-is", "zlib-grant", "zlib-origin", "zlib-altered")),
+    ("*", ("apache-title", "apache-grant", "apache-patent", "apache-ref", "apache-use", "apache-copy", "apache-as-is")),
+    ("*", ("apache-title", "apache-grant", "apache-patent")),
     ("*", ("apache-ref", "apache-use", "apache-copy", "apache-as-is")),
     ("*", ("apache-ref", "apache-copy", "apache-as-is")),
+    ("*", ("gpl-title", "gpl-ref", "gpl-hope", "gpl-see", "gpl-received")),
     ("*", ("gpl-ref", "gpl-hope", "gpl-see", "gpl-received")),
     ("*", ("gpl-ref", "gpl-hope", "gpl-see")),
+    ("*", ("mpl-title", "mpl-ref", "mpl-copy")),
     ("*", ("mpl-ref", "mpl-copy")),
     ("*", ("spdx",)),
+    ("*", ("gpl-title",)),
+    ("*", ("apache-title",)),
+    ("*", ("mpl-title",)),
+    ("*", ("bsd-title",)),
+    ("MIT", ("mit-title",)),
+    ("ISC", ("isc-title",)),
+    ("Zlib", ("zlib-title",)),
     ("*", ("apache-ref",)),
+    ("*", ("apache-or",)),
+    ("*", ("apache-name",)),
+    ("*", ("apache-adjective",)),
     ("*", ("gpl-ref",)),
     ("*", ("gpl-short",)),
+    ("*", ("gpl-name",)),
     ("*", ("mpl-ref",)),
     ("*", ("bsd-ref",)),
     ("*", ("boost-ref",)),
@@ -101,6 +138,8 @@ RULES = [
     ("*", ("cc-ref",)),
     ("*", ("cc-long",)),
     ("MIT", ("mit-ref",)),
+    ("MIT", ("mit-or",)),
+    ("MIT", ("mit-adjective",)),
     ("MIT", ("mit-grant",)),
     ("ISC", ("isc-ref",)),
     ("ISC", ("isc-grant",)),
@@ -112,12 +151,24 @@ RULES = [
     ("CC0-1.0", ("cc0-ref",)),
     ("Public-Domain", ("domain",)),
 ]
-SHORT = {"apache-ref": "Apache", "mpl-ref": "MPL", "boost-ref": "BSL", "eclipse-ref": "EPL", "artistic-ref": "Artistic"}
+SHORT = {
+    "apache-ref": "Apache", "apache-or": "Apache", "apache-name": "Apache", "apache-title": "Apache",
+    "apache-adjective": "Apache", "mpl-ref": "MPL", "mpl-title": "MPL",
+    "boost-ref": "BSL", "eclipse-ref": "EPL", "artistic-ref": "Artistic",
+}
 KNOWN = [(name, re.compile(rf"(?<![a-z0-9]){pattern}(?![a-z0-9])")) for name, pattern in SENTENCES]
 #: Sentences end at these, before white space; a blank line ends one as well.
 CUT = re.compile(r"(?:[.!?:;]+[\"')\]]*(?=\s))|\n[ \t*#/;]*\n")
 #: Names a licence expression outright; its identifier is "spdx".
 SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([\w.+\-()]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[\w.+\-()]+)*)")
+#: Identifiers that stand by themselves, without that tag.
+ID = (
+    r"Apache-[12]\.\d|(?:A|L)?GPL-\d\.\d(?:-only|-or-later|\+)?|MPL-\d\.\d|EPL-\d\.\d|BSL-1\.0|BSD-[0234]-Clause"
+    r"|CC0-1\.0|CC-BY(?:-NC)?(?:-SA|-ND)?-\d\.\d"
+)
+BARE = re.compile(rf"(?<![\w.\-/])(?:{ID})(?![\w\-+]|\.\w)")
+#: A field of a manifest or a heading: names that are too short to stand by themselves.
+LABEL = re.compile(rf"""\blicen[cs]e["']?[ \t]*[:=][ \t]*["']?(MIT|ISC|Zlib|Unlicense|WTFPL|{ID})(?![\w\-+]|\.\w)""", re.I)
 VERSION = re.compile(r"\b(?:v|ver|vers)\.? ?(?=\d)")
 
 
@@ -146,15 +197,16 @@ def named(identifier: str, g: dict[str, str | None]) -> str:
     """The licence that an identifier with its parts stands for, or "" if it names none."""
     v = g.get("version") or ""
     full = v if "." in v else f"{v}.0"
-    if identifier in ("gpl-ref", "gpl-short"):
+    if identifier in ("gpl-title", "gpl-ref", "gpl-short", "gpl-name"):
         kind = {"a": "A", "affero": "A", "l": "L", "lesser": "L", "library": "L"}.get((g.get("kind") or "").strip(), "")
-        return f"{kind}GPL-{full}-{'or-later' if g.get('later') else 'only'}"
+        bare = "" if identifier in ("gpl-title", "gpl-name") else "-only"
+        return f"{kind}GPL-{full}{'-or-later' if g.get('later') else bare}"
     if identifier in ("cc-ref", "cc-long"):
         words = re.sub(r"non ?commercial", "nc", g["parts"].replace("attribution", "by"))
         words = re.sub(r"share ?alike", "sa", words)
         words = re.sub(r"no ?deriv(?:ative)?s?(?: works)?", "nd", words)
         return f"CC-{'-'.join(words.upper().split())}-{v}"
-    if identifier == "bsd-ref":
+    if identifier in ("bsd-ref", "bsd-title"):
         name = {"new": "3", "modified": "3", "simplified": "2", "original": "4"}.get(g.get("name") or "")
         clauses = g.get("clauses") or g.get("after") or name
         return f"BSD-{clauses}-Clause" if clauses else "BSD"
@@ -166,7 +218,12 @@ def identified(text: str) -> list[tuple[str, str, int, int]]:
 
     A sentence may hold several, taken from left to right without overlap.
     """
-    out = [("spdx", m.group(1), m.start(), m.end()) for m in SPDX.finditer(text)]
+    out, upto = [], 0
+    spans = [(m.start(), -m.end(), m.group(m.re.groups)) for p in (SPDX, LABEL, BARE) for m in p.finditer(text)]
+    for at, end, name in sorted(spans):
+        if at >= upto:
+            out.append(("spdx", name, at, -end))
+            upto = -end
     start = 0
     ends = [(m.start(), m.end()) for m in CUT.finditer(text)]
     for stop, then in [*ends, (len(text), len(text))]:
@@ -186,7 +243,7 @@ def identified(text: str) -> list[tuple[str, str, int, int]]:
 def scan(text: str | None) -> list[Match]:
     """Licences of a text, in order; "unknown" for licence sentences that no rule takes."""
     text = text or ""
-    if not promising(text.lower()):
+    if not promising(text.lower()) and not BARE.search(text):
         return []
     found = identified(text)
     names = [f[0] for f in found]
