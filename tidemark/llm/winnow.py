@@ -4,7 +4,8 @@ A text's words are hashed, the hashes of ``2 ** gram`` following words are
 rolled into one by a cyclic shift, and of each window of ``2 ** window`` grams
 the least hash is kept with its position, the rightmost among equals. Any run
 of ``2 ** gram + 2 ** window - 1`` words that two texts share therefore gives
-them a common hash.
+them a common hash. A run of over ``PIECE`` code points without white space is no
+word; in it every code point counts as one, so that a passage is found at any offset.
 
 Rolling is done by doubling: the hashes of 2n words come from those of n words
 and the same array n places on; window minima likewise. Each step is one
@@ -23,8 +24,10 @@ from tidemark.llm.common import WORD, col, own, settled, whole
 #: Bits of a long that hold the position; the hash has the other 32, the sign none.
 PLACE = 31
 LAST = (1 << PLACE) - 1
-#: Code points of a word that are taken as one; longer words count as several.
+#: Code points of the longest word.
 PIECE = 32
+#: A word, or a code point of a run that is longer than one.
+TOKEN = f"(?<!{WORD[:-1]}){WORD[:-1]}{{1,{PIECE}}}(?!{WORD[:-1]})|{WORD[:-1]}"
 
 
 def _let(value: Column, body) -> Column:
@@ -53,7 +56,7 @@ def _rolled(step: int):
     return join
 
 
-def selected(text: Column, gram: int = 2, window: int = 4) -> Column:
+def selected(text: Column, gram: int = 2, window: int = 2) -> Column:
     """The kept (hash, position) pairs as longs in order of position; empty for a text without words.
 
     A text with fewer words than a gram has one gram of all its words; one with
@@ -73,7 +76,7 @@ def selected(text: Column, gram: int = 2, window: int = 4) -> Column:
             values = _let(values, _doubling(1 << k, lambda x, y: F.least(x, y)))
         return F.array_distinct(values)
 
-    words = F.regexp_extract_all(whole(text), F.lit(WORD[:-1] + "{1,%d}" % PIECE), 0)
+    words = F.regexp_extract_all(whole(text), F.lit(TOKEN), 0)
     return _let(
         words,
         lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>"))
@@ -88,8 +91,8 @@ def selected(text: Column, gram: int = 2, window: int = 4) -> Column:
 
 
 def hashes(picks: Column) -> Column:
-    """The set of hashes among kept pairs."""
-    return F.array_distinct(F.transform(picks, lambda p: F.shiftright(p, PLACE)))
+    """The set of hashes among kept pairs, as integers: the hash less 2 ** 31."""
+    return F.array_distinct(F.transform(picks, lambda p: (F.shiftright(p, PLACE) - F.lit(1 << 31)).cast("int")))
 
 
 def pairs(picks: Column) -> Column:
@@ -149,13 +152,13 @@ def following(ids: DataFrame) -> DataFrame:
 
 
 def edited(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, gram: int = 2, window: int = 4
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, gram: int = 2, window: int = 2
 ) -> DataFrame:
     """Fingerprints of each text, of its edited text, and of the next document's, by row.
 
     The last third (floor) of a text's code points is replaced by as many first
     ones of the next document in descending order of the integer identifier.
-    Gives doc_id, text, edited, picks, edited_picks, next_picks. Null texts are
+    Gives doc_id, text, edited, picks, edited_picks, next_hashes. Null texts are
     empty; null identifiers (and the least long, which is given back as null) are the least. Rows that share an identifier follow
     the same document and count as one, with the greatest of their texts, for
     the one before. A single document follows itself. An empty table gives no
@@ -165,12 +168,13 @@ def edited(
     need = F.floor(F.length(whole(col(text_col))) / 3).cast("int")
     ids = docs.select(key.alias("id"), need.alias("need")).groupBy("id").agg(F.max("need").alias("need"))
     before = following(ids).select(F.col("id").alias("before"), "need", F.col("next").alias("follows"))
-    # Both joins below read all three columns and no other, and so share one shuffle of the texts.
+    # Both joins below read all three columns and no other, and so share one shuffle of the texts. The set of
+    # hashes is what the row before needs; a row's own kept pairs, twice as large, are made where they are used.
     texts = docs.select(
-        key.alias("id"), whole(col(text_col)).alias("text"), selected(col(text_col), gram, window).alias("picks")
+        key.alias("id"), whole(col(text_col)).alias("text"), hashes(selected(col(text_col), gram, window)).alias("hashes")
     )
     after = texts.join(before, F.col("id") == F.col("follows")).select(
-        "id", "before", F.struct(F.expr("substring(text, 1, need)").alias("start"), "picks").alias("next")
+        "id", "before", F.struct(F.expr("substring(text, 1, need)").alias("start"), "hashes").alias("next")
     )
     after = after.groupBy("id").agg(F.max("before").alias("before"), F.max("next").alias("next"))
     rows = texts.join(after.drop("id"), F.col("id") == F.col("before"))
@@ -180,6 +184,7 @@ def edited(
         "edited", F.expr("concat(substring(text, 1, kept), substring(next.start, 1, length(text) - kept))")
     )
     return rows.select(
-        F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), "text", "edited", "picks", selected(F.col("edited"), gram, window).alias("edited_picks"),
-        F.col("next.picks").alias("next_picks"),
+        F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), "text", "edited",
+        selected(F.col("text"), gram, window).alias("picks"), selected(F.col("edited"), gram, window).alias("edited_picks"),
+        F.col("next.hashes").alias("next_hashes"),
     )
