@@ -33,15 +33,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = winnow.edited(table(spark, sf_dir, "documents"))
-    own = winnow.hashes(F.col("picks"))
     return rows.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         winnow.digest(F.col("picks")).alias("fingerprint"),
         winnow.digest(F.col("edited_picks")).alias("edited_fingerprint"),
-        winnow.likeness(own, winnow.hashes(F.col("edited_picks"))).alias("near_edited"),
-        winnow.likeness(own, F.col("next_hashes")).alias("near_next"),
+        winnow.likeness(F.col("hashes"), winnow.hashes(F.col("edited_picks"))).alias("near_edited"),
+        winnow.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
     )
 
 

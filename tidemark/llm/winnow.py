@@ -158,7 +158,7 @@ def edited(
 
     The last third (floor) of a text's code points is replaced by as many first
     ones of the next document in descending order of the integer identifier.
-    Gives doc_id, text, edited, picks, edited_picks, next_hashes. Null texts are
+    Gives doc_id, text, edited, picks, hashes, edited_picks, next_hashes. Null texts are
     empty; null identifiers (and the least long, which is given back as null) are the least. Rows that share an identifier follow
     the same document and count as one, with the greatest of their texts, for
     the one before. A single document follows itself. An empty table gives no
@@ -169,7 +169,7 @@ def edited(
     ids = docs.select(key.alias("id"), need.alias("need")).groupBy("id").agg(F.max("need").alias("need"))
     before = following(ids).select(F.col("id").alias("before"), "need", F.col("next").alias("follows"))
     # Both joins below read all three columns and no other, and so share one shuffle of the texts. The set of
-    # hashes is what the row before needs; a row's own kept pairs, twice as large, are made where they are used.
+    # hashes moves along; a row's kept pairs, twice as large, are made again where they are used.
     texts = docs.select(
         key.alias("id"), whole(col(text_col)).alias("text"), hashes(selected(col(text_col), gram, window)).alias("hashes")
     )
@@ -185,6 +185,6 @@ def edited(
     )
     return rows.select(
         F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), "text", "edited",
-        selected(F.col("text"), gram, window).alias("picks"), selected(F.col("edited"), gram, window).alias("edited_picks"),
-        F.col("next.hashes").alias("next_hashes"),
+        selected(F.col("text"), gram, window).alias("picks"), "hashes",
+        selected(F.col("edited"), gram, window).alias("edited_picks"), F.col("next.hashes").alias("next_hashes"),
     )
