@@ -19,11 +19,10 @@ from tidemark.operators.risk import trend_phrase
 
 NO_IMPORTANCE = "no ranking of the inputs is available"
 
-BRIEFING_ROLE = "You advise a health minister who has no technical training."
+BRIEFING_ROLE = "Your reader runs a public health service and wants to know what figures mean, not how they were made."
 BRIEFING_TASK = (
-    "Write a spoken briefing of four or five sentences in plain, calm prose without lists: "
-    "how the situation is moving, what it means for hospitals and the public, what the "
-    "forecast suggests, and one action to take. Use only the figures above."
+    "In one short paragraph, say where things stand and where they are heading, who will feel it "
+    "first, and the single measure you would start with. Keep to the figures given."
 )
 GLOBAL_ROLE = "You summarise the worldwide situation for senior health officials."
 GLOBAL_TASK = (
@@ -32,9 +31,9 @@ GLOBAL_TASK = (
 )
 POLICY_ROLE = "You advise a health ministry on policy."
 POLICY_TASK = (
-    "Give three recommendations of at most two sentences each: an action for the next 7 days, "
-    "a strategy for the next 30 days, and where to put resources. Fit them to the risk tier "
-    "and the coverage; a low tier calls for surveillance rather than alarm."
+    "Propose measures for the coming week and for the coming month, and name the services to "
+    "strengthen first. Match their force to the risk tier and the coverage: where the risk is "
+    "low, watching is enough."
 )
 EXPLAIN_ROLE = "You explain the output of a forecast model to a health official."
 EXPLAIN_TASK = (
