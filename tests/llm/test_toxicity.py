@@ -1,3 +1,5 @@
+import math
+
 import duckdb
 import numpy as np
 import pytest
@@ -62,3 +64,47 @@ def test_frames(docs, none, spark):
     empty = op.train(none, labels.limit(0))
     assert op.score(none, empty).collect() == [] and op.survivors(none, empty).collect() == []
     assert op.survivors(docs, empty).count() == docs.count()
+
+
+def test_objective_and_gradient_by_brute_force():
+    """The likelihood text by text in plain Python, its slope by differences."""
+    rng = np.random.default_rng(2)
+    names, ridge = 5, 0.01
+    held = [[0, 2], [], [1, 2, 4], [3], [0, 1, 2, 3, 4], [4], [2]]
+    grade, weight = np.array([0, 1, 2, 3, 3, 0, 2]), rng.random(7)
+    row = np.repeat(np.arange(7), [len(h) for h in held])
+    at = np.array([f for h in held for f in h])
+
+    def plain(state):
+        theta = [state[names]]
+        for x in state[names + 1 :]:
+            theta.append(theta[-1] + math.exp(x))
+        below = lambda k, z: 0.0 if k < 0 else 1.0 if k == len(theta) else 1 / (1 + math.exp(z - theta[k]))
+        out = 0.5 * ridge * sum(x * x for x in state[:names])
+        for h, g, c in zip(held, grade, weight):
+            z = sum(state[f] for f in h)
+            out -= c * math.log(below(g, z) - below(g - 1, z))
+        return out
+
+    assert op.GRADES == 4
+    for _ in range(5):
+        state = rng.normal(size=names + op.GRADES - 1)
+        value, slope = op.objective(state, names, row, at, grade, weight, ridge)
+        assert value == pytest.approx(plain(state))
+        for i in range(len(state)):
+            step = np.zeros(len(state))
+            step[i] = 1e-5
+            assert slope[i] == pytest.approx((plain(state + step) - plain(state - step)) / 2e-5, abs=1e-6)
+
+
+def test_score_by_brute_force(spark):
+    """Each text's severity and label from the model's weights, word by word."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = op.train(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    for r in op.score(docs, model).collect():
+        own = {f for w in set(op.WORDS.findall((texts[r.doc_id] or "").lower())) for f in op.parts(w)}
+        z = sum(model.weights.get(f, 0.0) for f in own)
+        above = [1 / (1 + math.exp(t - z)) for t in model.theta]
+        assert r.severity == pytest.approx(sum(above))
+        assert r.toxic == int(above[0] >= 0.5)

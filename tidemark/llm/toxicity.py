@@ -46,6 +46,34 @@ def logistic(z):
     return 0.5 * (1.0 + np.tanh(0.5 * z))
 
 
+def thresholds(state: np.ndarray, names: int) -> np.ndarray:
+    """After the weights, a state holds the first threshold and the steps' logarithms, so that they stay in order."""
+    return state[names] + np.concatenate([[0.0], np.cumsum(np.exp(state[names + 1 :]))])
+
+
+def objective(
+    state: np.ndarray, names: int, row: np.ndarray, at: np.ndarray, grade: np.ndarray, weight: np.ndarray, ridge: float
+) -> tuple[float, np.ndarray]:
+    """Weighted negative log-likelihood of the grades plus half the ridge term, and its gradient.
+
+    ``row`` and ``at`` are text and feature of each occurrence. The chance of grade
+    k is logistic(theta[k] - z) - logistic(theta[k - 1] - z), z the text's sum of weights.
+    """
+    w, steps, theta = state[:names], np.exp(state[names + 1 :]), thresholds(state, names)
+    z = np.bincount(row, w[at], len(grade))
+    edge = np.concatenate([[-np.inf], theta, [np.inf]])
+    upper, lower = logistic(edge[grade + 1] - z), logistic(edge[grade] - z)
+    p = np.maximum(upper - lower, 1e-12)
+    up, low = upper * (1 - upper) / p * weight, lower * (1 - lower) / p * weight
+    by_theta = np.array([-up[grade == k].sum() + low[grade == k + 1].sum() for k in range(GRADES - 1)])
+    grad = [
+        np.bincount(at, (up - low)[row], names) + ridge * w,
+        [by_theta.sum()],
+        np.cumsum(by_theta[::-1])[::-1][1:] * steps,
+    ]
+    return float(-(weight * np.log(p)).sum() + 0.5 * ridge * (w**2).sum()), np.concatenate(grad)
+
+
 def fit(
     texts: list[str], labels: np.ndarray, *, features: int = 4096, rounds: int = 300, ridge: float = 1e-3
 ) -> Model:
@@ -104,31 +132,14 @@ def fit(
     at = np.concatenate(kept)
     n = len(words)
     weight = np.where(labels == 1, 0.5 / total[1], 0.5 / total[0])
-    # Thresholds are the first and the steps' logarithms, so that they stay in order.
     state = np.concatenate([np.zeros(len(names)), [1.0], np.zeros(GRADES - 2)])
     m, v = np.zeros_like(state), np.zeros_like(state)
     for step in range(1, rounds + 1):
-        w, steps = state[: len(names)], np.exp(state[len(names) + 1 :])
-        theta = state[len(names)] + np.concatenate([[0.0], np.cumsum(steps)])
-        z = np.bincount(row, w[at], n)
-        edge = np.concatenate([[-np.inf], theta, [np.inf]])
-        upper, lower = logistic(edge[grade + 1] - z), logistic(edge[grade] - z)
-        p = np.maximum(upper - lower, 1e-12)
-        up, low = upper * (1 - upper) / p * weight, lower * (1 - lower) / p * weight
-        by_theta = np.array(
-            [-up[grade == k].sum() + low[grade == k + 1].sum() for k in range(GRADES - 1)]
-        )
-        grad = np.concatenate(
-            [
-                np.bincount(at, (up - low)[row], len(names)) + ridge * w,
-                [by_theta.sum()],
-                np.cumsum(by_theta[::-1])[::-1][1:] * steps,
-            ]
-        )
+        _, grad = objective(state, len(names), row, at, grade, weight, ridge)
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
         state = state - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-    theta = state[len(names)] + np.concatenate([[0.0], np.cumsum(np.exp(state[len(names) + 1 :]))])
+    theta = thresholds(state, len(names))
     return Model({f: float(x) for f, x in zip(names, state) if abs(x) > 1e-4}, theta)
 
 
