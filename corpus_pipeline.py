@@ -1,7 +1,10 @@
 """Documents to training tokens: filter, deduplicate, mix, encode.
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps. ``run`` writes
-every stage's rows to the shared folder and reads them for the next one.
+every stage's rows to the shared folder and reads them for the next one. Whole
+texts are read, null ones as empty; rows without an identifier, repeated rows,
+empty tables and further columns pass as the operators say, and all stages but
+the last return the columns they were given.
 """
 
 from __future__ import annotations
@@ -14,12 +17,12 @@ from tidemark.llm.common import stored, table
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go; null and empty texts have no features and are judged alike."""
     return toxicity.survivors(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+    """Of equal texts (null as empty) the row with the largest doc_id stays, once if repeated."""
     return exact_dedup.survivors(docs)
 
 
@@ -29,7 +32,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: rows are left out or repeated as the mix says."""
+    """Sources, null ones too, at their target weights: rows are left out or repeated as the mix says."""
     return mixing.mix(docs)
 
 

@@ -90,7 +90,12 @@ def decide(
 def survivors(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, one per text, with the columns of ``docs``."""
+    """The rows of ``docs`` that stay, one per text, with the columns of ``docs``.
+
+    Null texts count as empty, so one of all null and empty texts stays. A null
+    identifier stays only if its text has no other; of rows that repeat the kept
+    identifier and text one stays. An empty table gives none. Columns of any name pass through.
+    """
     kept = decide(docs, id_col, text_col, **options).where("kept")
     name, digest, length, check = own(docs, "name", *KEY)
     # Identifier and digest as one key, since a null identifier has to find itself as well.

@@ -159,7 +159,12 @@ def plan(
 
 
 def mix(docs: DataFrame, *args, **options) -> DataFrame:
-    """The mix itself: each row as often as ``plan`` takes it, with the columns of ``docs``."""
+    """The mix itself: each row as often as ``plan`` takes it, with the columns of ``docs``.
+
+    Null and empty texts, of size 0, come once for every whole pass; a null source
+    is one of the sources, the last. Repeated rows are taken each for itself. An empty table
+    gives none. Columns of any name pass through.
+    """
     (nth,) = own(docs, "nth")
     clash = [c for c in docs.columns if c.lower() in ("size", "source_size", "target", "times")]
     hidden = dict(zip(clash, own(docs, *(f"_{c}" for c in clash)), strict=True))

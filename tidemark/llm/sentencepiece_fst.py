@@ -450,7 +450,11 @@ def encode(
 
 
 def decode(docs: DataFrame, machine: Machine, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
-    """``docs`` with the text of an array of ids, replacing a column of that name; null as empty."""
+    """``docs`` with the text of an array of ids, replacing a column of that name.
+
+    Null and empty arrays give empty text; bytes that are no UTF-8 become U+FFFD.
+    Repeated rows are rows; an empty table gives none. Columns of any name pass through.
+    """
     rest = [c for c in docs.columns if c.lower() != name.lower()]
     kept = docs.select(*(col(c) for c in rest))
     (ids,) = own(kept, "ids_to_decode")

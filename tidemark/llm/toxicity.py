@@ -237,7 +237,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def survivors(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose p_toxic is below ``least``, with the columns of ``docs``; nothing is shuffled."""
+    """The rows of ``docs`` whose p_toxic is below ``least``, with the columns of ``docs``; nothing is shuffled.
+
+    The whole text is read. Null and empty texts have no features and get what the
+    thresholds alone say; repeated rows each stay or go, and equal texts alike; an
+    empty table gives none. Columns of any name pass through.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
