@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 import numpy as np
 import pytest
@@ -55,6 +56,13 @@ def test_filtered_mape_takes_days_above_100(spark):
     assert scored(spark, [(200, 150), (100, 1)]).mape_filtered == 25.0
 
 
+def test_means_between_two_results_do_not_depend_on_the_order_of_addition(spark):
+    # Mean 1.5 for the actuals and 0.005 for the errors, whose sums as doubles may lie below.
+    for values in itertools.permutations((1.39, 2.26, 0.85)):
+        r = scored(spark, [(v, v + e) for v, e in zip(values, (0.0, 0.005, 0.01))])
+        assert (r.avg_daily_actual, r.mae) == (2.0, 0.01)
+
+
 def test_split_is_disjoint_and_holds_out_30_days(spark):
     t = training(spark, range(40))
     train, test = fc.train_split(t), fc.test_actuals(t)

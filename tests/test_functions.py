@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions import filters
-from tidemark.functions.aggregates import exact_median, text_pages
+from tidemark.functions.aggregates import exact_median, rounded_mean, text_pages
 from tidemark.functions.filters import latest_per_key
 from tidemark.functions.scalars import floor_zero, key_noise, pct, ratio
 
@@ -103,3 +103,19 @@ def test_latest_row_and_median_do_not_sort_everything(spark):
         values = df.limit(n)
         want = values.agg(F.median("v")).first()[0]
         assert exact_median(values, "v", accuracy=20, buckets=5).first().median == want
+
+
+@pytest.mark.parametrize(
+    "values, digits, mean",
+    [
+        ([1.39, 2.26, 0.85], 0, 2.0),  # 1.5; as doubles 1.4999999999999998
+        ([-1.39, -2.26, -0.85], 0, -2.0),
+        ([1e300, 1e300, None], 0, 1e300),
+        ([float("nan"), 1.0], 0, float("nan")),
+        ([None], 0, None),
+        ([], 0, None),
+    ],
+)
+def test_a_mean_between_two_results_is_rounded_by_its_exact_value(spark, values, digits, mean):
+    df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
+    assert repr(df.agg(rounded_mean(F.col("v"), digits).alias("m")).first().m) == repr(mean)

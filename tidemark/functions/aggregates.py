@@ -16,6 +16,20 @@ def count_where(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
+def rounded_mean(x: Column, digits: int) -> Column:
+    """The mean of ``x``, rounded half away from 0; the order of addition decides nothing.
+
+    Values are added as decimals of nine digits. A mean that lies just between
+    two results, as those of values of two digits often do, is found exactly; a
+    sum of doubles falls on either side of it. Where such decimals do not hold a
+    value or the sum, doubles are added.
+    """
+    part = x.try_cast("decimal(28,9)")
+    total = F.when(F.count(part) == F.count(x), F.sum(part).try_cast("decimal(30,9)"))
+    exact = total / F.nullif(F.count(x), F.lit(0)).try_cast("decimal(10,0)")
+    return F.coalesce(F.round(exact, digits).cast("double"), F.round(F.avg(x), digits))
+
+
 def text_pages(
     df: DataFrame,
     key: str,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-from tidemark.functions.aggregates import conditional_sum, count_where
+from tidemark.functions.aggregates import conditional_sum, count_where, rounded_mean
 from tidemark.functions.filters import (
     as_date,
     cutoff,
@@ -85,7 +85,7 @@ def evaluate(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
     )
     return pairs.groupBy(F.col("series").alias(S.SERIES)).agg(
         F.count("*").alias("eval_days"),
-        F.round(F.avg(error), 2).alias("mae"),
+        rounded_mean(error, 2).alias("mae"),
         F.round(F.avg(F.when(scale > 0, F.lit(200.0) * error / scale).otherwise(0.0)), 2).alias(
             "smape"
         ),
@@ -93,7 +93,7 @@ def evaluate(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
         F.round(ratio(F.sum(error), F.sum(a)) * 100, 2).alias("wmape"),
         F.sum(a).alias("total_actual"),
         F.sum(floor_zero_round(f)).alias("total_forecast"),
-        F.round(F.avg(a), 0).alias("avg_daily_actual"),
+        rounded_mean(a, 0).alias("avg_daily_actual"),
         count_where(a <= LOW_COUNT).alias("low_count_days"),
     )
 
@@ -109,7 +109,7 @@ def eval_report(evaluation: DataFrame) -> DataFrame:
 def overall_metrics(evaluation: DataFrame) -> DataFrame:
     """Unweighted means over the series."""
     return evaluation.agg(*[
-        F.round(F.avg(m), 2).alias(f"overall_{m}") for m in ("mae", "smape", "wmape")
+        rounded_mean(F.col(m), 2).alias(f"overall_{m}") for m in ("mae", "smape", "wmape")
     ])
 
 
