@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import threading
 
 import pytest
 from conftest import day
@@ -116,3 +117,26 @@ def test_forecasts_use_known_days_only(spark):
     assert all(a <= b + 1e-9 for a, b in itertools.pairwise(widths)) and widths[0] >= 0
     ranked = model.feature_importance().where("series = 'A'").orderBy("rank").collect()
     assert ranked[0].feature_name in ("lag_30", "lag_60") and sum(r.score for r in ranked) == pytest.approx(1)
+
+
+def test_both_forests_of_a_fit_grow_at_the_same_time(spark, monkeypatch):
+    both, train, got = threading.Barrier(2), boosting.train, []
+
+    def met(*args, **how):
+        both.wait(60)  # fails unless the other forest is begun too
+        got.append(spark.sparkContext.getLocalProperty("of.the.caller"))
+        return train(*args, **how, trees=1, depth=1)
+
+    monkeypatch.setattr(boosting, "train", met)
+    rows = [(s, day(t + 1), float(t % 7)) for s in "AB" for t in range(120)]
+    spark.sparkContext.setLocalProperty("of.the.caller", "here")
+    models.fit(spark.createDataFrame(rows, "country_region string, date date, target_cases double"), "boosted")
+    spark.sparkContext.setLocalProperty("of.the.caller", None)
+    assert got == ["here", "here"]
+
+
+def test_forests_grown_together_are_those_grown_alone(spark, keep):
+    frames = [spark.createDataFrame(rows_of(n, seed), "x double, z double, c double, y double") for n, seed in ((300, 1), (200, 2))]
+    how = {"trees": 3, "depth": 2, "bins": 8, "settle": 2}
+    together = boosting.train_together(frames, ["x", "z", "c"], "y", keep, **how)
+    assert together == [boosting.train(f, ["x", "z", "c"], "y", keep, **how) for f in frames]

@@ -13,10 +13,12 @@ trees do not depend on how the rows are partitioned.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +46,21 @@ class Forest:
     gains: dict[str, float] = field(default_factory=dict)  # what each input's cuts explained
 
 
-def quantile_edges(rows: DataFrame, inputs: Sequence[Column], bins: int, accuracy: int = 10_000) -> list[tuple[float, ...]]:
-    """Distinct inner quantiles of each input, in one pass of bounded memory."""
+def quantile_edges(
+    rows: DataFrame, inputs: Sequence[Column], answer: Column, bins: int, accuracy: int = 10_000
+) -> tuple[list[tuple[float, ...]], float | None]:
+    """Distinct inner quantiles of each input, and the mean answer, in one pass of bounded memory."""
     at = [i / bins for i in range(1, bins)]
-    found = rows.agg(*(F.percentile_approx(x, at, accuracy).alias(f"q{i}") for i, x in enumerate(inputs))).first()
-    top = rows.agg(*(F.max(x).alias(f"m{i}") for i, x in enumerate(inputs))).first()
+    found = rows.agg(
+        F.round(F.avg(answer), 6).alias("base"),
+        *(F.percentile_approx(x, at, accuracy).alias(f"q{i}") for i, x in enumerate(inputs)),
+        *(F.max(x).alias(f"m{i}") for i, x in enumerate(inputs)),
+    ).first()
     # Nothing lies above the greatest value, so a cut there is none.
-    return [tuple(sorted({e for e in (q or ()) if e < m})) for q, m in zip(found, top)]
+    edges = [
+        tuple(sorted({e for e in (found[f"q{i}"] or ()) if e < found[f"m{i}"]})) for i in range(len(inputs))
+    ]
+    return edges, found.base
 
 
 def bin_of(x: Column, edges: Sequence[float]) -> Column:
@@ -69,6 +79,18 @@ def _walk(test: Callable[[int, int], Column], tree: Tree, node: int, end: Callab
     return F.when(test(tree.inputs[node], tree.cuts[node]), right).otherwise(left)
 
 
+def _cases(tree: Tree, node: int, end: Callable[[int], str]) -> str:
+    """``_walk`` over the bins ``b0``, ``b1``, ... as SQL: one text is built much faster than its many columns."""
+    inner = len(tree.inputs)
+    if node >= inner:
+        return end(node - inner)
+    left = _cases(tree, 2 * node + 1, end)
+    if tree.inputs[node] < 0:
+        return left
+    right = _cases(tree, 2 * node + 2, end)
+    return f"CASE WHEN b{tree.inputs[node]} > {tree.cuts[node]} THEN {right} ELSE {left} END"
+
+
 def value(forest: Forest, inputs: Sequence[Column]) -> Column:
     """The forest's answer from raw inputs."""
 
@@ -102,6 +124,17 @@ def best_cuts(histogram: dict[tuple[int, int, int], tuple[int, int]], nodes: int
     return out
 
 
+def train_together(
+    parts: Sequence[DataFrame], names: Sequence[str], target: str, keep: Callable[[DataFrame], DataFrame], **how
+) -> list[Forest]:
+    """The forest of each table. Their jobs run side by side, for a level's job on few rows is mostly its start."""
+    # Each thread has a copy of this one's local properties.
+    threads = [inheritable_thread_target(part.sparkSession)(train) for part in parts]
+    with ThreadPoolExecutor(len(parts)) as pool:
+        growing = [pool.submit(run, part, names, target, keep, **how) for run, part in zip(threads, parts)]
+    return [forest.result() for forest in growing]
+
+
 def train(
     rows: DataFrame,
     names: Sequence[str],
@@ -125,25 +158,23 @@ def train(
     """
     raw = [F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(0.0)) for n in names]
     answer = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
-    edges = quantile_edges(rows, raw, bins)
-    base = rows.agg(F.round(F.avg(answer), 6)).first()[0]
+    edges, base = quantile_edges(rows, raw, answer, bins)
     base = otherwise if base is None else base
     unit = lambda x: F.round(x * UNIT).cast("bigint")
     binned = keep(rows.select(
         *(bin_of(x, e).cast("tinyint" if bins <= 128 else "int").alias(f"b{i}") for i, (x, e) in enumerate(zip(raw, edges))),
         unit(answer - F.lit(base)).alias("rest"),
     ))
-    above = lambda i, cut: F.col(f"b{i}") > cut
+    every_cell = F.explode(F.array(*(
+        F.struct(F.lit(i).alias("input"), F.col(f"b{i}").cast("int").alias("bin")) for i in range(len(names))
+    )))
     grown: list[Tree] = []
     gains = dict.fromkeys(names, 0.0)
     for count in range(1, trees + 1):
         tree = Tree((), (), ())
         for level in range(depth):
-            at = _walk(above, tree, 0, F.lit) if level else F.lit(0)
-            cells = F.explode(F.array(*(
-                F.struct(F.lit(i).alias("input"), F.col(f"b{i}").cast("int").alias("bin")) for i in range(len(names))
-            )))
-            sums = binned.select(at.alias("node"), cells.alias("cell"), "rest")
+            at = F.expr(_cases(tree, 0, str))
+            sums = binned.select(at.alias("node"), every_cell.alias("cell"), "rest")
             sums = sums.groupBy("node", "cell.input", "cell.bin").agg(F.count("*").alias("n"), F.sum("rest").alias("s"))
             histogram = {(r.node, r.input, r.bin): (r.n, r.s) for r in sums.collect()}
             cuts = best_cuts(histogram, 1 << level, penalty)
@@ -161,7 +192,8 @@ def train(
                 leaves.append(rate * s / UNIT / (n + penalty) if n else 0.0)
         tree = Tree(tree.inputs, tree.cuts, tuple(leaves))
         grown.append(tree)
-        binned = binned.withColumn("rest", F.col("rest") - _walk(above, tree, 0, lambda leaf: unit(F.lit(tree.leaves[leaf]))))  # noqa: B023
+        answered = _cases(tree, 0, lambda leaf: f"CAST(round({tree.leaves[leaf]!r}D * {UNIT}) AS BIGINT)")  # noqa: B023
+        binned = binned.withColumn("rest", F.col("rest") - F.expr(answered))
         if count % settle == 0 and count < trees:
             binned = keep(binned)
     return Forest(tuple(names), tuple(edges), float(base), tuple(grown), gains)

@@ -350,9 +350,9 @@ def _fit_boosted(
     kept, work = LayerStore(spark), LayerStore(spark)
     rows = work.write(rows.where(F.col("age") > far), "boosted", "rows")
     keep = lambda df: work.write(df, "boosted", "bins")
-    forest = boosting.train(rows, names, "answer", keep, otherwise=1.0)  # its level, if nothing is known
     cut = cutoff(rows, horizon, date=day)
-    early = boosting.train(rows.where(F.col(day) <= cut), names, "answer", keep, otherwise=1.0)
+    both = [rows, rows.where(F.col(day) <= cut)]
+    forest, early = boosting.train_together(both, names, "answer", keep, otherwise=1.0)  # their level, if nothing is known
     inputs = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names]
     errors = rows.where(F.col(day) > cut).select(
         F.datediff(day, cut).alias("step"), F.abs(F.col("answer") - boosting.value(early, inputs)).alias("size")
